@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import contextlib
 import hashlib
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -13,6 +11,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.operators.lineage import cut, shared_dir
+
+__all__ = ["bounded", "cut", "hashed_words", "mix", "only", "shared_dir", "shingles", "table", "text_of"]
+
 #: Word separators: space, and tab to carriage return.
 SEPARATORS = b" \t\n\x0b\x0c\r"
 #: Rows of at most two short columns that may be broadcast; larger sides are joined by a shuffle.
@@ -25,25 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one is set only where the session names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gridloom-"))
-        named = spark.sparkContext.getCheckpointDir()
-    return named.rstrip("/")
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """`df` written to the shared folder and read back: later jobs, and retries after a lost executor, start there."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def bounded(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """`small` marked for broadcast if a count shows at most `rows` rows; otherwise as it is, for a shuffle join."""
     few = small.limit(rows + 1).count() <= rows
@@ -62,11 +45,6 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def clash_free(df: DataFrame, *names: str) -> DataFrame:
-    """`df` with just these columns, so that extra columns can't clash with the operator's own."""
-    return df.select(*names)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers whose output bits all depend on all input bits (splitmix64's finaliser)."""
     x = x ^ (x >> np.uint64(30))
@@ -194,16 +172,3 @@ def shingles(words: np.ndarray, owner: np.ndarray, rows: int, size: int) -> tupl
         order = np.argsort(rows_of, kind="stable")
         found, rows_of = found[order], rows_of[order]
     return found, rows_of
-
-
-@contextlib.contextmanager
-def conf(spark: SparkSession, **values: str) -> Iterator[None]:
-    """Settings that hold within a block; underscores stand for dots."""
-    old = {k: spark.conf.get(k.replace("_", "."), None) for k in values}
-    for k, v in values.items():
-        spark.conf.set(k.replace("_", "."), v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k.replace("_", ".")) if v is None else spark.conf.set(k.replace("_", "."), v)
