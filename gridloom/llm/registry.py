@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import attribution, bpe, chat, importance, licenses, mixture, multiset, units
+from gridloom.llm import attribution, bpe, chat, importance, licenses, mixture, multiset, near_text, units
 from gridloom.llm.common import table
 
 #: The conversation that op10's contract adds.
@@ -25,6 +25,10 @@ def op3_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return units.dedup_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_text.group_near(table(spark, sf_dir, "documents"))
+
+
 def op5_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset.edited(table(spark, sf_dir, "documents"))
 
