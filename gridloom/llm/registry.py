@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import attribution, bpe, chat, importance, licenses, mixture, multiset, near_text, units
+from gridloom.llm import attribution, bpe, chat, importance, licenses, mixture, multiset, near_text, near_vectors, units
 from gridloom.llm.common import table
 
 #: The conversation that op10's contract adds.
@@ -41,6 +41,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.group_near(table(spark, sf_dir, "embeddings"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -56,7 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mix_sources": MIX_SQL, "op10_chat_format": CHAT_SQL}
+    return {"op6_mix_sources": MIX_SQL, "op8_multi_index": VECTOR_SQL, "op10_chat_format": CHAT_SQL}
 
 
 MIX_SQL = r"""
@@ -81,6 +85,20 @@ SELECT doc_id, size, source_size, target, (repeats * size + greatest(0, least(si
 FROM r JOIN i ON r.source IS NOT DISTINCT FROM i.source
 """
 
+VECTOR_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_sum(list_transform(embedding, lambda x: x * x)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT vec_id AS a, vec_id AS c FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.a),
+m AS (SELECT a, min(c) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*)::BIGINT AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN m ON m.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
 CHAT_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
