@@ -146,8 +146,14 @@ class Tokenizer:
 
 
 def encode(df: DataFrame, text: str = "text", key: str = "doc_id", ranks: str = RANKS, leaf: int = LEAF) -> DataFrame:
-    """A row for each of `df`: the key, `ids` and `decoded`, the bytes that the ids stand for."""
-    return _each(df, text, key, ranks, leaf, T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("decoded", T.BinaryType())]), lambda t, s: _pair(t, s, leaf))
+    """A row for each of `df`: the key, n_tokens, ids, and lossless: whether the ids decode to the text."""
+
+    def row(t: Tokenizer, s: str) -> tuple[int, list[int], bool]:
+        ids, decoded = _pair(t, s, leaf)
+        return len(ids), ids, decoded == s.encode("utf-8", "surrogatepass")
+
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("lossless", T.BooleanType())]
+    return _each(df, text, key, ranks, leaf, T.StructType(fields), row)
 
 
 def digests(df: DataFrame, text: str = "text", key: str = "doc_id", ranks: str = RANKS, leaf: int = LEAF) -> DataFrame:

@@ -10,8 +10,8 @@ source in the order of a seeded hash, until the part is used up; the document th
 words. Each source takes its target to the word. The order is found in two steps: words are summed by source and
 1,024 ranges of the hash, and only the one range that holds the crossing is ordered by rows.
 
-Sources number as many as there are; their table is broadcast only if a count shows it small, else it is joined with
-the hot sources' rows spread over many tasks (AQE splits them).
+Sources number as many as there are; their table is broadcast only if a count shows it small, else it is joined by
+a shuffle in which AQE splits the hot sources' rows.
 
 Defined results: a null text has no words; a null source is a source of its own, ordered last; an empty table gives no
 rows; a source without words takes none; rows that share an id and a source are ordered by text digest and taken apart;
@@ -73,27 +73,54 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), epochs: fl
     return sources.select("_source", "source_size", F.least("_cap", F.lit(level) * F.col("_weight")).alias("target"))
 
 
-def mix_sources(df: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", weights: tuple[float, ...] = (5, 2, 1), epochs: float = 1.5, cap: float = 2.0, seed: str = "mix") -> DataFrame:
-    """A row for each of `df`: key, size, source_size, target, taken, repeats (whole repetitions) and extra (words of the partial one)."""
-    digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit(""))))
-    docs = df.select(df[key].alias("_key"), df[source].cast("string").alias("_source"), n_words(text_of(text)).alias("size"), digest.alias("_order"), F.md5(text_of(text)).alias("_text"))
-    docs = cut(docs.withColumn("_range", F.floor(F.conv(F.substring("_order", 1, 5), 16, 10).cast("long") * RANGES / 16**5).cast("int")))
-    by_range = cut(docs.groupBy("_source", "_range").agg(F.sum("size").alias("_words")))
-    goals = targets(by_range.groupBy("_source").agg(F.sum("_words").alias("source_size")), weights, epochs, cap)
+def _measured(df: DataFrame, text: str, key: str, source: str, seed: str) -> DataFrame:
+    """`df` with each row's source, size, place in the seeded order and range of it."""
+    order = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    return df.withColumns({"_source": F.col(source).cast("string"), "_size": n_words(text_of(text)), "_order": order}).withColumn("_range", F.floor(F.conv(F.substring("_order", 1, 5), 16, 10).cast("long") * RANGES / 16**5).cast("int"))
+
+
+def goals(df: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", weights: tuple[float, ...] = (5, 2, 1), epochs: float = 1.5, cap: float = 2.0, seed: str = "mix") -> DataFrame:
+    """A row for each source: source_size, target, repeats, _part (words of the partial repetition), and the range _at in which it ends, after _left words of it."""
+    by_range = cut(_measured(df, text, key, source, seed).groupBy("_source", "_range").agg(F.sum("_size").alias("_words")))
+    found = targets(by_range.groupBy("_source").agg(F.sum("_words").alias("source_size")), weights, epochs, cap)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    goals = goals.withColumn("repeats", whole).withColumn("_part", F.floor(F.col("target") - F.col("repeats") * F.col("source_size") + 0.5).cast("long"))
+    found = found.withColumn("repeats", whole).withColumn("_part", F.floor(F.col("target") - F.col("repeats") * F.col("source_size") + 0.5).cast("long"))
     before = F.sum("_words").over(Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_words")
-    sums = by_range.withColumn("_before", before).join(goals, by_range["_source"].eqNullSafe(goals["_source"])).drop(goals["_source"])
-    crossing = sums.where((F.col("_before") <= F.col("_part")) & (F.col("_part") < F.col("_before") + F.col("_words"))).select("_source", F.col("_range").alias("_at"), F.col("_part") - F.col("_before"))
-    crossing = crossing.toDF("_s", "_at", "_left")
-    goals = cut(goals.join(crossing, goals["_source"].eqNullSafe(crossing["_s"]), "left").select(F.col("_source").alias("_s"), "source_size", "target", "repeats", "_part", "_at", "_left"))
-    joined = docs.join(bounded(goals), docs["_source"].eqNullSafe(F.col("_s"))).drop("_s")
+    sums = by_range.withColumn("_before", before).join(found, by_range["_source"].eqNullSafe(found["_source"])).drop(found["_source"])
+    crossing = sums.where((F.col("_before") <= F.col("_part")) & (F.col("_part") < F.col("_before") + F.col("_words"))).select(F.col("_source").alias("_s"), F.col("_range").alias("_at"), (F.col("_part") - F.col("_before")).alias("_left"))
+    return cut(found.join(crossing, found["_source"].eqNullSafe(crossing["_s"]), "left").select(F.col("_source").alias("_s"), "source_size", "target", "repeats", "_part", "_at", "_left"))
+
+
+def mix_sources(df: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", weights: tuple[float, ...] = (5, 2, 1), epochs: float = 1.5, cap: float = 2.0, seed: str = "mix") -> DataFrame:
+    """The rows of `df` as the struct `row`, with size, source_size, target, taken, repeats (whole repetitions) and extra (words of
+    the partial one). Texts stay where they are, but for the rows of each source's one range in which its part ends."""
+    by_source = goals(df, text, key, source, weights, epochs, cap, seed)
+    kept = df.select(F.struct(*(F.col(c) for c in df.columns)).alias("row"))
+    kept = _measured(kept, f"row.{text}", f"row.{key}", f"row.{source}", seed)
+    joined = kept.join(bounded(by_source), kept["_source"].eqNullSafe(F.col("_s"))).drop("_s")
     inside = joined.where(F.col("_range") == F.col("_at"))
     rest = joined.where(F.col("_at").isNull() | (F.col("_range") != F.col("_at")))
-    order = Window.partitionBy("_source").orderBy("_order", F.col("_key").asc_nulls_last(), "_text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    left = F.col("_left") - (F.sum("size").over(order) - F.col("size"))
-    inside = inside.withColumn("extra", F.greatest(F.lit(0), F.least("size", left)))
+    order = Window.partitionBy("_source").orderBy("_order", F.col(f"row.{key}").asc_nulls_last(), F.md5(text_of(f"row.{text}"))).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    left = F.col("_left") - (F.sum("_size").over(order) - F.col("_size"))
+    inside = inside.withColumn("extra", F.greatest(F.lit(0), F.least("_size", left)))
     # A source whose part is all of its words has no crossing.
-    rest = rest.withColumn("extra", F.when((F.col("_range") < F.col("_at")) | (F.col("_part") >= F.col("source_size")), F.col("size")).otherwise(F.lit(0)))
+    rest = rest.withColumn("extra", F.when((F.col("_range") < F.col("_at")) | (F.col("_part") >= F.col("source_size")), F.col("_size")).otherwise(F.lit(0)))
     out = inside.unionByName(rest)
-    return out.select(F.col("_key").alias(key), "size", "source_size", "target", (F.col("repeats") * F.col("size") + F.col("extra")).alias("taken"), "repeats", "extra")
+    return out.select("row", F.col("_size").alias("size"), "source_size", "target", (F.col("repeats") * F.col("_size") + F.col("extra")).alias("taken"), "repeats", "extra")
+
+
+def repeated(df: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The mix itself: each row of `df` as often as it is taken, the partial repetition with the first words of its text; other columns as they are."""
+    mixed = mix_sources(df, text, **options)
+    words = F.array_repeat(F.col("size"), F.col("repeats").cast("int"))
+    copies = mixed.withColumn("_n", F.explode(F.when(F.col("extra") > 0, F.array_append(words, F.col("extra"))).otherwise(words)))
+    first = F.when(F.col("_n") >= F.col("size"), F.col(f"row.{text}")).otherwise(_first_words(F.col(f"row.{text}"), F.col("_n")))
+    return copies.select(*(first.alias(c) if c == text else F.col(f"row.{c}").alias(c) for c in df.columns))
+
+
+def _first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of its n-th word: the words are counted in a copy whose separators are all spaces."""
+    spaced = F.regexp_replace(text, r"[\x20\x09-\x0D]", " ")
+    # Places where a word ends, by cutting after each word; lengths of the pieces add up to the place.
+    pieces = F.slice(F.split(spaced, "(?<=[^ ])(?= )"), F.lit(1), F.greatest(n, F.lit(0)).cast("int"))
+    return F.substring(text, F.lit(1), F.aggregate(pieces, F.lit(0), lambda a, x: a + F.char_length(x)))

@@ -34,7 +34,7 @@ def op5_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixture.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixture.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("row.doc_id", "size", "source_size", "target", "taken")
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
