@@ -10,9 +10,10 @@ for a text of any length. A signature that the limit leaves with a gap is made a
 
 Texts with equal shingles are a class, for which the least id stands. Signatures are cut into BANDS bands of ROWS. In
 each bucket the least representative is the centre, every other one is compared with it, and the exact multiset overlap is
-verified. A bucket whose members these links leave in several components is then examined in full: its members are
-compared by their signatures in blocks, and the pairs of different components that can be near are verified too.
-So no bucket is cut off and none gives all its pairs. Documents are grouped by the components of the verified links.
+verified. Where these links leave a bucket's members in several components, the member with most links is its next
+centre, for the members of other components: of a group of edited copies that is the text they were made from. A bucket
+that is still in several components is then examined in full: its members are compared by their signatures in blocks,
+and the pairs of different components that can be near are verified too. So no bucket is cut off and none gives all its pairs. Documents are grouped by the components of the verified links.
 
 Hot groups: copies collapse before banding; a bucket's centre is found by a sum before the shuffle; pairs join texts by
 id, where AQE splits a hot centre's rows; blocks bound what one task sees of a bucket.
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -192,12 +193,31 @@ def verify(pairs: DataFrame, docs: DataFrame, text: str = "text", key: str = "do
     return both.mapInArrow(run, schema)
 
 
-def _residual(buckets: DataFrame, signed: DataFrame, links: DataFrame) -> DataFrame:
-    """Pairs (a, b) of buckets that the links leave in several components, of different components and near by their signatures."""
+def _unresolved(buckets: DataFrame, links: DataFrame) -> DataFrame:
+    """(bucket, id, weight, comp, n) of the buckets whose members the links leave in several components; n is a bucket's members."""
     found = components_of_edges(links, "a", "b").withColumnRenamed("component", "_c")
     member = buckets.join(found, F.col("id") == F.col("node"), "left").select("bucket", "id", "weight", F.coalesce("_c", "id").alias("comp"))
-    several = member.groupBy("bucket").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count("*").alias("_n")).where("_lo < _hi").select(F.col("bucket").alias("_bucket"), "_n")
-    member = cut(member.join(several, F.col("bucket") == F.col("_bucket")).select("bucket", "id", "weight", "comp", F.greatest(F.lit(1), F.ceil(F.col("_n") / BLOCK)).cast("int").alias("blocks")))
+    several = member.groupBy("bucket").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count("*").alias("n")).where("_lo < _hi").select(F.col("bucket").alias("_bucket"), "n")
+    return cut(member.join(several, F.col("bucket") == F.col("_bucket")).select("bucket", "id", "weight", "comp", "n"))
+
+
+def _second(unresolved: DataFrame, links: DataFrame) -> DataFrame:
+    """Pairs of each bucket's member with most links and the members of other components."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("_id")).groupBy("_id").agg(F.count("*").alias("_links"))
+    known = unresolved.join(degree, F.col("id") == F.col("_id"), "left").select("bucket", "id", "weight", "comp", F.coalesce("_links", F.lit(0)).alias("links"))
+    best = known.groupBy("bucket").agg(F.max(F.struct("links", (-F.col("id")).alias("i"), "weight", "comp")).alias("_b")).select(F.col("bucket").alias("_bucket"), (-F.col("_b.i")).alias("centre"), F.col("_b.weight").alias("_w"), F.col("_b.comp").alias("_comp"))
+    met = unresolved.join(best, F.col("bucket") == F.col("_bucket")).where("comp <> _comp").where(_alike(F.col("weight"), F.col("_w")))
+    return met.select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
+
+
+def _alike(x: Column, y: Column) -> Column:
+    """Whether multisets of these sizes can be similar enough."""
+    return F.least(x, y) >= F.lit(SIMILARITY) * F.greatest(x, y)
+
+
+def _residual(unresolved: DataFrame, signed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components of a bucket that are near by their signatures."""
+    member = unresolved.select("bucket", "id", "weight", "comp", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     # Block i meets block j once, in the task of the smaller and the larger.
     dealt = member.withColumn("_i", mine).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -229,11 +249,12 @@ def group_near(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     shared = members.groupBy("bucket").agg(F.min(F.col("id")).alias("centre"), F.count("*").alias("n")).where("n > 1").select(F.col("bucket").alias("_bucket"), "centre")
     buckets = cut(members.join(shared, F.col("bucket") == F.col("_bucket")).select("bucket", "id", "weight", "centre"))
     weights = buckets.where("id = centre").select("bucket", F.col("weight").alias("_w")).withColumnRenamed("bucket", "_bucket")
-    near = F.least("weight", "_w") >= F.lit(SIMILARITY) * F.greatest("weight", "_w")
-    pairs = buckets.where("id <> centre").join(weights, F.col("bucket") == F.col("_bucket")).where(near).select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    pairs = buckets.where("id <> centre").join(weights, F.col("bucket") == F.col("_bucket")).where(_alike(F.col("weight"), F.col("_w"))).select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     links = cut(verify(_estimated(pairs, signed), docs, text, key))
-    more = cut(verify(_residual(buckets, signed, links), docs, text, key))
-    found = components_of_edges(links.select("a", "b").union(more.select("a", "b")), "a", "b")
+    more = cut(verify(_estimated(_second(_unresolved(buckets, links), links), signed), docs, text, key))
+    links = links.union(more)
+    rest = cut(verify(_residual(_unresolved(buckets, links), signed), docs, text, key))
+    found = components_of_edges(links.union(rest), "a", "b")
     grouped = names.join(found, F.col("rep") == F.col("node"), "left").select("h1", "h2", "rep", F.coalesce("component", "rep").alias("_g"))
     each = signed.select("id", F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).distinct()
     classes = each.join(grouped, (F.col("_h1") == F.col("h1")) & (F.col("_h2") == F.col("h2"))).groupBy("id").agg(F.min("rep").alias("_class"), F.min("_g").alias("_group"))
