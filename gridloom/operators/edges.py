@@ -211,7 +211,7 @@ def extract_fragments(edges: DataFrame, ends: DataFrame) -> DataFrame:
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         marked = set(pdf.loc[pdf["end_a"], "label_a"]) | set(pdf.loc[pdf["end_b"], "label_b"])
         paths = shortest_paths(list(pdf[["label_a", "label_b", "distance"]].itertuples(index=False, name=None)), {int(x) for x in marked})
-        return pd.DataFrame({"group_cc": pdf["group_cc"].iat[0], "cc_task": range(len(paths)), "path": paths}, columns=["group_cc", "cc_task", "path"])
+        return pd.DataFrame({"group_cc": pdf["group_cc"].iat[0], "cc_task": range(len(paths)), "path": pd.Series(paths, dtype=object)}, columns=["group_cc", "cc_task", "path"])
 
     return flagged.groupBy("group_cc").applyInPandas(search, "group_cc long, cc_task int, path array<long>")
 

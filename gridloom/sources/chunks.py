@@ -49,7 +49,14 @@ def _encode(data: bytes, codec: str | None) -> bytes:
 
 
 def _attributes(spark: SparkSession, path: str) -> dict:
-    return json.loads(spark.read.text(path, wholetext=True).first()["value"])
+    """A small JSON file, also one whose name starts with a point, which Spark's readers pass over."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(at)
+    try:
+        return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
 
 
 def _voxels(block: np.ndarray, corner: tuple[int, ...]) -> pd.DataFrame:
