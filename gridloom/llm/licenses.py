@@ -51,7 +51,8 @@ TAG_WEIGHT, PHRASE_WEIGHT = 0.95, 0.8
 
 _WORD = bytes(i if i >= 128 or 48 <= i < 58 or 97 <= i < 123 else i + 32 if 65 <= i < 91 else 32 for i in range(256))
 _EXPRESSION = re.compile(r"[\t ]*([^\r\n]{0,1000})")
-_TOKEN = re.compile(r"[()]|[a-z0-9.+-]+", re.ASCII)
+_TOKEN = re.compile(r"[()]|[a-z0-9.+-]*[a-z0-9+]", re.ASCII)
+_TOKENS = re.compile(rf"(?:\s*(?:{_TOKEN.pattern}))*", re.ASCII)
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
 
@@ -131,7 +132,7 @@ def terms(node: Node) -> int | None:
 
 def _leading(text: str) -> Node:
     """The longest start of a text that is an expression: what follows a tag on its line may go on as prose."""
-    words = _TOKEN.findall(text.lower())[:64]
+    words = _TOKEN.findall(_TOKENS.match(text.lower())[0])[:64]
     for n in range(len(words), 0, -1):
         try:
             return parse(" ".join(words[:n]))
