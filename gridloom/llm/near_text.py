@@ -12,8 +12,8 @@ Texts with equal shingles are a class, for which the least id stands. Signatures
 each bucket the least representative is the centre, every other one is compared with it, and the exact multiset overlap is
 verified. Where these links leave a bucket's members in several components, the member with most links is its next
 centre, for the members of other components: of a group of edited copies that is the text they were made from. A bucket
-that is still in several components is then examined in full: its members are compared by their signatures in blocks,
-and the pairs of different components that can be near are verified too. So no bucket is cut off and none gives all its pairs. Documents are grouped by the components of the verified links.
+that is still in several components is then examined in full: its members are compared in blocks, by signatures and then by
+their texts, and each block gives only the links that join components. So no bucket is cut off and none gives all its pairs. Documents are grouped by the components of the verified links.
 
 Hot groups: copies collapse before banding; a bucket's centre is found by a sum before the shuffle; pairs join texts by
 id, where AQE splits a hot centre's rows; blocks bound what one task sees of a bucket.
@@ -28,7 +28,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +43,8 @@ BANDS, ROWS = 26, 5
 M = BANDS * ROWS
 #: Mean points for each component before the time limit; a signature has a gap with a chance of about M exp(-LIMIT).
 LIMIT = float(np.log(M)) + 3.0
-#: Members in a block of a bucket that is examined in full.
-BLOCK = 256
+#: Members, and shingles about, in a block of a bucket that is examined in full.
+BLOCK, WORDS = 256, 400_000
 #: How far the signatures' estimate may be below the least similarity: over four standard deviations.
 SLACK = 4.2 * (SIMILARITY * (1 - SIMILARITY) / M) ** 0.5
 #: Elements of multisets handled at once.
@@ -215,27 +214,105 @@ def _alike(x: Column, y: Column) -> Column:
     return F.least(x, y) >= F.lit(SIMILARITY) * F.greatest(x, y)
 
 
-def _residual(unresolved: DataFrame, signed: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components of a bucket that are near by their signatures."""
-    member = unresolved.select("bucket", "id", "weight", "comp", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    # Block i meets block j once, in the task of the smaller and the larger.
-    dealt = member.withColumn("_i", mine).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumn("_lo", F.least("_i", "_j")).withColumn("_hi", F.greatest("_i", "_j"))
-    dealt = dealt.join(signed.select(F.col("id").alias("_id"), "signature"), F.col("id") == F.col("_id")).select("bucket", "_lo", "_hi", "_i", "id", "weight", "comp", "signature")
+def _blocks_of(unresolved: DataFrame, signed: DataFrame) -> DataFrame:
+    """The members of unresolved buckets in blocks: a row for each meeting of its block with another or itself, in the task of both."""
+    total = unresolved.groupBy("bucket").agg(F.sum("weight").alias("_words")).withColumnRenamed("bucket", "_bucket")
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("_words") / WORDS)).cast("int")
+    member = unresolved.join(total, F.col("bucket") == F.col("_bucket")).select("bucket", "id", "weight", "comp", blocks.alias("blocks"))
+    dealt = member.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("low", F.least("block", "_other")).withColumn("high", F.greatest("block", "_other"))
+    sigs = signed.select(F.col("id").alias("_id"), "bands", "signature").dropDuplicates(["_id"])
+    return dealt.join(sigs, F.col("id") == F.col("_id")).select("bucket", "low", "high", "block", "id", "weight", "comp", "bands", "signature")
+
+
+def _grouped(df: DataFrame) -> DataFrame:
+    return df.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "id")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Successive rows with equal bucket, low and high, whatever batches they came in."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)])
+        cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+            mine = tuple(key[:, a])
+            if held and mine != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = mine
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _candidates(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of different components and blocks low and high that can be similar, each in the first bucket that both are in."""
+    low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
+    bucket = group.column("bucket")[0].as_py()
+    block, weight, comp = (group.column(c).to_numpy() for c in ("block", "weight", "comp"))
+    sig = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint16).reshape(-1, M)
+    bands = np.concatenate([c.flatten().to_numpy() for c in group.column("bands").chunks]).reshape(-1, BANDS)
+    place = (bands == bucket).argmax(axis=1)
+    x, y = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    found = []
+    for k in x:
+        other = y[y > k] if low == high else y
+        other = other[(comp[other] != comp[k]) & (np.minimum(weight[other], weight[k]) >= SIMILARITY * np.maximum(weight[other], weight[k]))]
+        if len(other):
+            other = other[(sig[other] == sig[k]).mean(axis=1) >= SIMILARITY - SLACK]
+        if len(other):
+            same = bands[other] == bands[k]
+            other = other[same.argmax(axis=1) == place[k]]
+        found.append((np.full(len(other), k), other))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _residual(unresolved: DataFrame, signed: DataFrame, docs: DataFrame, text: str, key: str, similarity: float) -> DataFrame:
+    """Verified links (a, b) between different components of unresolved buckets: the edges of a forest over each meeting of blocks.
+
+    Members without a candidate leave first, by their signatures; the others meet again with their texts, and what is verified there is
+    all that comes out, however many pairs were compared."""
+    rows = _blocks_of(unresolved, signed)
+
+    def busy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            if group.num_rows > 1:
+                x, y = _candidates(group)
+                if len(x):
+                    yield from group.take(pa.array(np.union1d(x, y))).combine_chunks().to_batches()
+
+    asked = _grouped(rows).mapInArrow(busy, rows.schema)
+    texts = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"))
+    met = _grouped(asked.join(texts, F.col("id") == F.col("_id")).drop("_id").dropDuplicates(["bucket", "low", "high", "id"]))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            x, y = _candidates(group)
+            if not len(x):
+                continue
+            bags = _bags(group.column("_text").combine_chunks())
+            ids, top = group.column("id").to_numpy(), {}
+
+            def root(c: int, top: dict[int, int] = top) -> int:
+                while top.setdefault(c, c) != c:
+                    c = top[c]
+                return c
 
-    def near(pdf: pd.DataFrame) -> pd.DataFrame:
-        low, high = pdf["_lo"].iat[0], pdf["_hi"].iat[0]
-        sig = np.frombuffer(b"".join(pdf["signature"]), np.uint16).reshape(len(pdf), M)
-        ids, weight, comp, block = (pdf[c].to_numpy() for c in ("id", "weight", "comp", "_i"))
-        out = []
-        for k in np.flatnonzero(block == low):
-            with_ = np.flatnonzero((block == high) & (comp != comp[k]) & (np.minimum(weight, weight[k]) >= SIMILARITY * np.maximum(weight, weight[k])) & ((ids > ids[k]) if low == high else True))
-            alike = (sig[with_] == sig[k]).mean(axis=1)
-            out += [(min(ids[k], ids[x]), max(ids[k], ids[x])) for x in with_[alike >= SIMILARITY - SLACK]]
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+            comp, links = group.column("comp").to_pylist(), []
+            for i, j in zip(x.tolist(), y.tolist(), strict=True):
+                a, b = root(comp[i]), root(comp[j])
+                if a != b and overlap(bags[i], bags[j]) >= similarity:
+                    top[max(a, b)] = min(a, b)
+                    links.append((int(ids[i]), int(ids[j])))
+            if links:
+                a, b = np.array(links, np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    return dealt.groupBy("bucket", "_lo", "_hi").applyInPandas(near, "a long, b long").distinct()
+    return met.mapInArrow(compare, "a long, b long")
 
 
 def group_near(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -253,8 +330,8 @@ def group_near(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     links = cut(verify(_estimated(pairs, signed), docs, text, key))
     more = cut(verify(_estimated(_second(_unresolved(buckets, links), links), signed), docs, text, key))
     links = links.union(more)
-    rest = cut(verify(_residual(_unresolved(buckets, links), signed), docs, text, key))
-    found = components_of_edges(links.union(rest), "a", "b")
+    rest = cut(_residual(_unresolved(buckets, links), signed, docs, text, key, SIMILARITY))
+    found = components_of_edges(links.select("a", "b").union(rest), "a", "b")
     grouped = names.join(found, F.col("rep") == F.col("node"), "left").select("h1", "h2", "rep", F.coalesce("component", "rep").alias("_g"))
     each = signed.select("id", F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).distinct()
     classes = each.join(grouped, (F.col("_h1") == F.col("h1")) & (F.col("_h2") == F.col("h2"))).groupBy("id").agg(F.min("rep").alias("_class"), F.min("_g").alias("_group"))
