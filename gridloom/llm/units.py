@@ -1,7 +1,7 @@
-"""Substring dedup by hashing lines and the sentences in them.
+"""Substring dedup by hashing lines and the clauses in them.
 
-Units are a text's lines, cut further after sentence ends, so a passage that was put into the middle of a line is made
-of units of its own. A unit is normalised (lower case, single spaces) and named by a 128-bit digest. A unit of fewer
+Units are a text's lines, cut further after marks that end sentences and clauses, so a passage that was put into the middle of
+a line is made of units of its own, but for its outermost words. A unit is normalised (lower case, single spaces) and named by a 128-bit digest. A unit of fewer
 than MIN_WORDS words is named together with the units before it, back to MIN_WORDS words, so `Yes.` goes only where
 what leads to it is repeated too; one with fewer words before it in the text is never removed.
 
@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 MIN_WORDS = 8
-_BREAK = re.compile(r"\n\s*|(?<=[.!?])[ \t]+")
+_BREAK = re.compile(r"\n\s*|(?<=[.!?,;:])[ \t]+")
 _LAST = (1 << 63) - 1
 
 
