@@ -61,7 +61,7 @@ def erode_leaves(edges: DataFrame, rounds: int = 1) -> DataFrame:
 
 def split_disconnected(members: DataFrame, edges: DataFrame, next_body: int) -> DataFrame:
     """(segment, body) of a mapping whose bodies' segments the edges leave apart: pieces without the body's least segment get new bodies from next_body on."""
-    from gridloom.operators.labelmap import number_rows
+    from gridloom.operators.numbering import number_rows
 
     m = members.select("segment", "body")
     e = edges.join(m.select(F.col("segment").alias("src"), F.col("body").alias("_a")), "src").join(m.select(F.col("segment").alias("dst"), F.col("body").alias("_b")), "dst").where("_a = _b").select("src", "dst")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.operators.numbering import number_rows
+
 MODES = ("identity", "zero", "error")
 
 
@@ -25,7 +27,7 @@ def add_offset(column: str | Column, offset: int) -> Column:
 
 def contingent_mapping(contingency: DataFrame, primary: str = "left", contingent: str = "right", start: int | None = None) -> DataFrame:
     """(primary, contingency, final) for each primary label with several non-zero contingent ones, final consecutive from the
-    largest primary label + 1 in order of both. Numbers come from counts of ranges of the primary, not from one task."""
+    largest primary label + 1 in order of both."""
     pairs = contingency.where((F.col(primary) != 0) & (F.col(contingent) != 0)).select(F.col(primary).alias("primary"), F.col(contingent).alias("contingency")).distinct()
     if start is None:
         start = (contingency.agg(F.max(primary)).first()[0] or 0) + 1
@@ -33,22 +35,6 @@ def contingent_mapping(contingency: DataFrame, primary: str = "left", contingent
     return number_rows(pairs.join(several.select("primary"), "primary", "left_semi"), ["primary", "contingency"], "final", start)
 
 
-def number_rows(df: DataFrame, order: list[str], name: str, start: int = 0, ranges: int = 64) -> DataFrame:
-    """Consecutive numbers in an order, whose first column's ranges are numbered apart and then shifted by the ranges' counts."""
-    first = order[0]
-    low, high = df.agg(F.min(first), F.max(first)).first()
-    if low is None or not isinstance(low, int) or low == high:
-        return df.withColumn(name, (F.row_number().over(Window.orderBy(*order)) - 1 + start).cast("long"))
-    width = (high - low) // ranges + 1
-    ranged = df.withColumn("_range", F.call_function("div", F.col(first).cast("long") - low, F.lit(width)))
-    counts = {r["_range"]: r["n"] for r in ranged.groupBy("_range").agg(F.count("*").alias("n")).collect()}  # `ranges` rows at most
-    at, before = start, {}
-    for k in sorted(counts):
-        before[k], at = at, at + counts[k]
-    shift = F.create_map(*[F.lit(v).cast("long") for k, n in before.items() for v in (k, n)])[F.col("_range").cast("long")]
-    return ranged.withColumn(name, F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1 + shift).drop("_range")
-
-
 def contingent_relabel(pairs: DataFrame, mapping: DataFrame, primary: str = "left", contingent: str = "right", name: str = "final") -> DataFrame:
     """`pairs` with the final label of (primary, contingency), the primary one where there is no entry."""
     m = mapping.select(F.col("primary").alias("_p"), F.col("contingency").alias("_c"), F.col("final").alias("_f"))
@@ -68,7 +54,7 @@ def renumber_groups(tables: list[DataFrame], exclude: DataFrame | None = None, k
 def _dense(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     """A dense rank over the distinct keys only, joined back."""
     ranks = rows.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
-    ranks = ranks.withColumn(name, (F.row_number().over(Window.orderBy(*(f"_{k}" for k in keys))) - 1).cast("long"))
+    ranks = number_rows(ranks, [f"_{k}" for k in keys], name)
     on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     condition = on[0]
     for c in on[1:]:

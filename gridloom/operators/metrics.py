@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.operators.aggregates import add_totals
+from gridloom.operators.numbering import running_totals
 
 
 def with_totals(overlaps: DataFrame) -> DataFrame:
@@ -68,26 +69,22 @@ def extremes(by_subvolume: DataFrame, key: str, value: str) -> DataFrame:
     return by_subvolume.agg(F.min_by(key, F.struct(value, key)).alias("least_at"), F.min(value).alias("least"), F.max_by(key, F.struct(value, key)).alias("most_at"), F.max(value).alias("most"), F.avg(value).alias("average"))
 
 
-def bodies_to_reach(sizes: DataFrame, percents: tuple[int, ...] = (50, 75, 90), body: str = "body", size: str = "size", bins: int = 64) -> DataFrame:
-    """(percent, n_bodies): how many bodies, largest first, hold so much of the whole.
-
-    Bodies of one size are counted together, so what is ordered is the distinct sizes, and ranges of those are summed apart."""
-    by_size = sizes.groupBy(F.col(size).alias("s")).agg(F.count("*").alias("n"), (F.count("*") * F.col("s")).alias("v"))
-    total, top = by_size.agg(F.sum("v"), F.max("s")).first()
+def _reaching(sizes: DataFrame, size: str, goals: list[tuple[int, float]], name: str) -> DataFrame:
+    """(percent, name): how many rows, largest first, add up to each goal. Rows of one size are counted together, so what is ordered is the distinct sizes."""
     spark = sizes.sparkSession
-    if not total:
-        return spark.createDataFrame([(p, 0) for p in percents], "percent int, n_bodies long")
-    octave = F.floor(F.log2(F.greatest(F.col("s").cast("double"), F.lit(1.0))) * (bins // 16))
-    ranged = by_size.withColumn("_r", -octave)
-    sums = ranged.groupBy("_r").agg(F.sum("n").alias("_n"), F.sum("v").alias("_v"))  # some `bins` rows for each 16 doublings
-    w = Window.orderBy("_r")
-    starts = sums.select(F.col("_r").alias("_q"), (F.sum("_n").over(w) - F.col("_n")).alias("n0"), (F.sum("_v").over(w) - F.col("_v")).alias("v0"))
-    inner = Window.partitionBy("_r").orderBy(F.desc("s"))
-    run = ranged.join(F.broadcast(starts), F.col("_r") == F.col("_q")).select("s", "n", "n0", "v0", (F.sum("n").over(inner) - F.col("n")).alias("nb"), (F.sum("v").over(inner) - F.col("v")).alias("vb"), "v")
-    wanted = spark.createDataFrame([(p, float(total) * p / 100) for p in percents], "percent int, goal double")
-    reached = run.join(F.broadcast(wanted), (F.col("v0") + F.col("vb") < F.col("goal")) & (F.col("v0") + F.col("vb") + F.col("v") >= F.col("goal")))
-    need = F.ceil((F.col("goal") - F.col("v0") - F.col("vb")) / F.col("s"))
-    return reached.select("percent", (F.col("n0") + F.col("nb") + need).cast("long").alias("n_bodies"))
+    by_size = sizes.groupBy(F.col(size).alias("s")).agg(F.count("*").alias("n")).withColumn("v", F.col("n") * F.col("s"))
+    run = running_totals(by_size, [F.desc("s")], {"n0": "n", "v0": "v"})
+    wanted = F.broadcast(spark.createDataFrame(goals, "percent int, goal double"))
+    reached = run.join(wanted, (F.col("v0") < F.col("goal")) & (F.col("v0") + F.col("v") >= F.col("goal")))
+    found = reached.select("percent", (F.col("n0") + F.ceil((F.col("goal") - F.col("v0")) / F.col("s"))).cast("long").alias(name))
+    none = spark.createDataFrame([(p, 0) for p, g in goals if g <= 0], f"percent int, {name} long")
+    return found.unionByName(none)
+
+
+def bodies_to_reach(sizes: DataFrame, percents: tuple[int, ...] = (50, 75, 90), size: str = "size") -> DataFrame:
+    """(percent, n_bodies): how many bodies, largest first, hold so much of the whole."""
+    total = sizes.agg(F.sum(size)).first()[0] or 0
+    return _reaching(sizes, size, [(p, float(total) * p / 100) for p in percents], "n_bodies")
 
 
 def edits_to_reach(overlaps: DataFrame, percents: tuple[int, ...] = (50, 75, 90)) -> DataFrame:
@@ -99,38 +96,12 @@ def edits_to_reach(overlaps: DataFrame, percents: tuple[int, ...] = (50, 75, 90)
         best = F.row_number().over(Window.partitionBy(side).orderBy(F.desc("overlap"), other))
         ranked = o.withColumn("_r", best)
         right, total = ranked.agg(F.sum(F.when(F.col("_r") == 1, F.col("overlap"))), F.sum("overlap")).first()
-        gains = ranked.where("_r > 1").select(F.col("overlap").alias("size"), F.lit(0).alias("body"))
-        rows = []
-        for p in percents:
-            missing = (total or 0) * p / 100 - (right or 0)
-            rows.append((p, missing))
-        found = _count_to(gains, rows, name)
+        goals = [(p, float(total or 0) * p / 100 - float(right or 0)) for p in percents]
+        found = _reaching(ranked.where("_r > 1"), "overlap", goals, name)
         out = found if out is None else out.join(found, "percent")
     return out
 
 
-def _count_to(gains: DataFrame, goals: list[tuple[int, float]], name: str) -> DataFrame:
-    spark = gains.sparkSession
-    total = gains.agg(F.sum("size")).first()[0] or 0
-    done = [(p, 0) for p, g in goals if g <= 0]
-    open_ = [(p, g) for p, g in goals if g > 0]
-    out = spark.createDataFrame(done, f"percent int, {name} long") if done else None
-    for p, g in open_:
-        part = bodies_to_reach(gains, (1,)).limit(0) if not total else _reach(gains, g)
-        row = part.select(F.lit(p).cast("int").alias("percent"), F.col("n_bodies").alias(name))
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
-def _reach(gains: DataFrame, goal: float) -> DataFrame:
-    """n_bodies to hold `goal`, an amount."""
-    by_size = gains.groupBy(F.col("size").alias("s")).agg(F.count("*").alias("n"))
-    w = Window.orderBy(F.desc("s"))
-    run = by_size.select("s", (F.sum("n").over(w) - F.col("n")).alias("n0"), (F.sum(F.col("n") * F.col("s")).over(w) - F.col("n") * F.col("s")).alias("v0"), "n")
-    hit = run.where((F.col("v0") < goal) & (F.col("v0") + F.col("n") * F.col("s") >= goal))
-    return hit.select((F.col("n0") + F.ceil((F.lit(goal) - F.col("v0")) / F.col("s"))).cast("long").alias("n_bodies"))
-
-
 def best_match(overlaps: DataFrame) -> DataFrame:
     """(gt, seg, overlap, matched): each gt body's best seg body; matched where that is over half of the seg body."""
     o = add_totals(overlaps, "seg", "overlap", "seg_total")

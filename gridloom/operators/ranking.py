@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.arithmetic import AXES
 from gridloom.operators.aggregates import add_totals
+from gridloom.operators.numbering import running_totals
 
 
 def top_n(rows: DataFrame, key: list[str], order: list, n: int, name: str = "rank") -> DataFrame:
@@ -50,15 +51,8 @@ def sort_stats(stats: DataFrame) -> DataFrame:
 
 def batches(rows: DataFrame, key: str, size: int) -> DataFrame:
     """Rows with the number of a batch of whole keys, in order, of about `size` rows each: a key goes where the rows before it put it."""
-    from gridloom.operators.labelmap import number_rows
-
     counts = rows.groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("_n"))
-    numbered = number_rows(counts, ["_k"], "_i")
-    block = F.call_function("div", F.col("_i"), F.lit(4096).cast("long"))
-    sums = numbered.withColumn("_block", block)
-    starts = sums.groupBy("_block").agg(F.sum("_n").alias("_sum")).withColumn("_start", F.sum("_sum").over(Window.orderBy("_block")) - F.col("_sum")).select(F.col("_block").alias("_b2"), "_start")
-    before = F.sum("_n").over(Window.partitionBy("_block").orderBy("_i")) - F.col("_n")
-    placed = sums.withColumn("_before", before).join(starts, F.col("_block") == F.col("_b2")).select("_k", F.call_function("div", F.col("_start") + F.col("_before"), F.lit(size).cast("long")).alias("batch"))
+    placed = running_totals(counts, ["_k"], {"_before": "_n"}).select("_k", F.call_function("div", F.col("_before"), F.lit(size).cast("long")).alias("batch"))
     return rows.join(placed, F.col(key) == F.col("_k")).drop("_k")
 
 

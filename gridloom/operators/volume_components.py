@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.arithmetic import AXES
 from gridloom.operators.components import components_of_edges
 from gridloom.operators.grid import Grid, brick_index
-from gridloom.operators.labelmap import number_rows
+from gridloom.operators.numbering import number_rows
 
 _KEY = ["bz", "by", "bx"]
 
