@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import bounded, cut, text_of
+from gridloom.operators.numbering import number_rows
 
 #: Words for sizes.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -36,17 +37,7 @@ def n_words(text: Column) -> Column:
 
 def ranked(sources: DataFrame) -> DataFrame:
     """`sources` with `_rank` from 0 by code point, null last; ranges of sources are counted apart, so no task sees them all."""
-    dealt = sources.repartitionByRange(F.col("_source").isNull(), F.encode("_source", "utf-8")).sortWithinPartitions(F.col("_source").isNull(), F.encode("_source", "utf-8"))
-    numbered = cut(dealt.withColumn("_id", F.monotonically_increasing_id()))
-    part = F.shiftright(F.col("_id"), 33)
-    counts = {r["part"]: r["n"] for r in numbered.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}  # one row for each partition
-    before, at = {}, 0
-    for p in sorted(counts):
-        before[p], at = at, at + counts[p]
-    offset = F.lit(0).cast("long")
-    if len(before) > 1:
-        offset = F.create_map(*[F.lit(x) for p, n in before.items() for x in (p, n)])[part]
-    return numbered.withColumn("_rank", offset + F.col("_id").bitwiseAND((1 << 33) - 1)).drop("_id")
+    return number_rows(sources, [F.col("_source").isNull(), F.encode("_source", "utf-8")], "_rank")
 
 
 def water_level(sources: DataFrame, budget: float) -> float:
