@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.arithmetic import AXES, block_id, floor_div
+from gridloom.functions.channels import normalise_channels, select_channels
 from gridloom.functions.viewer import link_state
 from gridloom.operators import aggregates as agg
-from gridloom.operators import diffs, edges, filters, graph, grid, labelmap, metrics, ranking, resample
+from gridloom.operators import diffs, edges, filters, graph, grid, labelmap, metrics, objects, ranking, resample
 from gridloom.operators import volume_components as vc
 from gridloom.operators.grid import Grid
+from gridloom.plans.measures import evaluate
 from gridloom.sources.tables import groups_from_lists
 from gridloom.streaming import changes
 
@@ -793,3 +795,50 @@ def remap_overlaps(spark, d):
     o = overlaps(spark, d).toDF("body1", "body2", "overlap")
     regions = t(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("orig"), F.col("n_regionkey").cast("long").alias("new"))
     return agg.remap_overlaps(agg.combine_overlaps([o, o]), regions)
+
+
+# Objects, channels and measures.
+
+
+@query("WITH s AS (SELECT o_custkey AS segment, c_nationkey AS body, count(*)::BIGINT AS size FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2), b AS (SELECT body, sum(size)::BIGINT AS body_size, count(*)::BIGINT AS segments FROM s GROUP BY 1) SELECT s.*, body_size, segments, size BETWEEN 5 AND 30 AS keep_segment, body_size BETWEEN 10 AND 100000000 AND segments BETWEEN 2 AND 100000000 AND body IN (SELECT n_nationkey FROM nation WHERE n_regionkey < 3) AND body NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal < -900) AS keep_body FROM s JOIN b USING (body)")
+def body_flags(spark, d):
+    s = _counts(spark, d).groupBy(F.col("sv").alias("segment"), F.col("body").cast("int").alias("body")).agg(F.sum("count").alias("size"))
+    subset = t(spark, d, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").alias("body"))
+    existing = t(spark, d, "supplier").where("s_acctbal < -900").select(F.col("s_nationkey").alias("body"))
+    return objects.body_flags(s, (5, 30), (10, 100000000), (2, 100000000), subset, existing)
+
+
+@query("SELECT (p_partkey - p_partkey % 100) AS key, array_to_string(list(p_partkey ORDER BY p_partkey), ',') AS members FROM part WHERE p_partkey // 100 <> 3 GROUP BY 1")
+def mesh_groups(spark, d):
+    found = objects.grouped_objects(t(spark, d, "part"), objects.group_key("hundreds", "p_partkey"), "p_partkey", spark.createDataFrame([(300,)], "key long"))
+    return found.select("key", F.array_join(F.transform("members", lambda x: x.cast("string")), ",").alias("members"))
+
+
+@query("SELECT doc_id AS label, octet_length(text::BLOB)::BIGINT AS bytes FROM documents WHERE octet_length(text::BLOB) > 5000".replace("octet_length(text::BLOB)", "strlen(text)"))
+def oversized_objects(spark, d):
+    return objects.oversized(t(spark, d, "documents").select(F.col("doc_id").alias("label"), "text"), "text", 5000)
+
+
+@query("SELECT ((z // 4) * 128)::BIGINT AS z, ((y // 4) * 128)::BIGINT AS y, ((x // 4) * 128)::BIGINT AS x, count(*)::BIGINT AS blocks FROM (SELECT DISTINCT l_linenumber AS z, l_suppkey AS y, l_partkey % 50 AS x FROM lineitem) GROUP BY 1, 2, 3")
+def roi_partition(spark, d):
+    blocks = t(spark, d, "lineitem").select(F.col("l_linenumber").alias("z"), F.col("l_suppkey").alias("y"), F.pmod("l_partkey", F.lit(50)).alias("x")).distinct()
+    return objects.roi_partition(blocks, 32, 128)
+
+
+@query(f"WITH {V_SQL}, g(label, k) AS (VALUES (48, 1), (49, 1), (50, 1), (1, 2), (2, 2)), p AS (SELECT DISTINCT {fd('y', 8)} AS brick, q AS label, k FROM v JOIN g ON g.label = q), f AS (SELECT brick, label, count(*) OVER (PARTITION BY brick, k) AS n FROM p) SELECT brick, label, (row_number() OVER (PARTITION BY brick ORDER BY label))::INT AS number FROM f WHERE n >= 2")
+def groups_in_bricks(spark, d):
+    rows = fifty(spark, d).select(floor_div("y", 8).alias("brick"), "label")
+    return objects.groups_in_bricks(rows, groups_from_lists([[48, 49, 50], [1, 2]], spark), ["brick"])
+
+
+@query("SELECT vec_id, round(embedding[3]::DOUBLE, 6) AS a, round(embedding[1]::DOUBLE, 6) AS b, round(sum(v), 6) AS total FROM (SELECT vec_id, embedding, unnest(embedding)::DOUBLE / list_sum(embedding::DOUBLE[]) AS v FROM embeddings) GROUP BY 1, 2, 3")
+def channels(spark, d):
+    e = t(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
+    two = e.select("vec_id", select_channels("e", [2, 0]).alias("s"), normalise_channels("e").alias("n"))
+    return two.select("vec_id", F.round(F.col("s")[0], 6).alias("a"), F.round(F.col("s")[1], 6).alias("b"), F.round(F.aggregate("n", F.lit(0.0), lambda x, y: x + y), 6).alias("total"))
+
+
+@query("WITH o AS (SELECT source, lang AS gt, n_chars // 500 AS seg FROM documents GROUP BY 1, 2, 3), c AS (SELECT source, count(DISTINCT seg) - count(DISTINCT gt) AS k FROM o GROUP BY 1) SELECT arg_min(source, (k, source)) AS least_at, min(k)::BIGINT AS least, arg_max(source, (k, source)) AS most_at, max(k)::BIGINT AS most, avg(k) AS average FROM c")
+def measure_extremes(spark, d):
+    o = t(spark, d, "documents").groupBy(F.col("source").alias("subvolume"), F.col("lang").alias("gt"), floor_div("n_chars", 500).alias("seg")).agg(F.count("*").alias("overlap"))
+    return evaluate(o, ["count"])["count"]["extremes"]
