@@ -44,7 +44,7 @@ M = BANDS * ROWS
 #: Mean points for each component before the time limit; a signature has a gap with a chance of about M exp(-LIMIT).
 LIMIT = float(np.log(M)) + 3.0
 #: Members, and shingles about, in a block of a bucket that is examined in full.
-BLOCK, WORDS = 256, 400_000
+BLOCK, WORDS = 1024, 400_000
 #: How far the signatures' estimate may be below the least similarity: over four standard deviations.
 SLACK = 4.2 * (SIMILARITY * (1 - SIMILARITY) / M) ** 0.5
 #: Elements of multisets handled at once.
