@@ -1,9 +1,10 @@
 """Substring dedup by hashing lines and the clauses in them.
 
 Units are a text's lines, cut further after marks that end sentences and clauses, so a passage that was put into the middle of
-a line is made of units of its own, but for its outermost words. A unit is normalised (lower case, single spaces) and named by a 128-bit digest. A unit of fewer
-than MIN_WORDS words is named together with the units before it, back to MIN_WORDS words, so `Yes.` goes only where
-what leads to it is repeated too; one with fewer words before it in the text is never removed.
+a line is made of units of its own, but for its outermost words. A unit is normalised (lower case, single spaces) and named by a 128-bit digest. A whole line has a digest
+whatever its length. A clause of fewer than MIN_WORDS words that is cut out of a line is named together with the units before
+it, back to MIN_WORDS words, so that `Yes.` inside a line goes only where what leads to it is repeated too; one with fewer
+words before it in the text goes only with its line. A unit goes if its own digest or its line's is repeated.
 
 Digests are grouped globally for the least document id; within a document the first place counts. What comes back to
 a document is the list of digests it keeps, keyed by document, so a line that a third of all documents hold needs no
@@ -44,28 +45,34 @@ def units(text: str) -> list[tuple[int, int]]:
     return found
 
 
-def names(text: str, spans: list[tuple[int, int]], min_words: int = MIN_WORDS) -> list[int | None]:
-    """A 128-bit digest for each unit; None for one that can't be removed."""
+def names(text: str, spans: list[tuple[int, int]], min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
+    """What may go: first unit, unit after the last, and the 128-bit digest by which these go."""
     said: list[list[str]] = []
-    out: list[int | None] = []
-    for a, b in spans:
-        words = text[a:b].lower().split()
-        said.append(words)
-        if not words:
-            out.append(None)
-            continue
-        k, n = len(said) - 1, len(words)
-        while n < min_words and k > 0:
-            k -= 1
-            n += len(said[k])
-        if n < min_words:
-            out.append(None)
-            continue
-        key = " ".join(words) if k == len(said) - 1 else "\x00".join(" ".join(w) for w in said[k:] if w)
-        out.append(xxhash.xxh3_128_intdigest(key.encode("utf-8", "surrogatepass")))
+    out: list[tuple[int, int, int]] = []
+    line: list[int] = []  # the units of the line so far that have words
+    for k, (a, b) in enumerate(spans):
+        said.append(text[a:b].lower().split())
+        if said[k]:
+            line.append(k)
+        if line and (k == len(spans) - 1 or text.find("\n", a, b) >= 0):
+            if len(line) == 1 or any(len(said[u]) < min_words for u in line):
+                out.append((line[0], line[-1] + 1, _digest([w for u in line for w in said[u]])))
+            if len(line) > 1:
+                for u in line:
+                    first, n = u, len(said[u])
+                    while n < min_words and first > 0:
+                        first -= 1
+                        n += len(said[first])
+                    if n >= min_words:
+                        out.append((u, u + 1, _digest(*(w for w in said[first : u + 1] if w))))
+            line = []
     return out
 
 
+def _digest(*parts: list[str]) -> int:
+    return xxhash.xxh3_128_intdigest("\x00".join(map(" ".join, parts)).encode("utf-8", "surrogatepass"))
+
+
 def _halves(digest: int) -> tuple[int, int]:
     high, low = digest >> 64, digest & (2**64 - 1)
     return high - (1 << 64) if high >> 63 else high, low - (1 << 64) if low >> 63 else low
@@ -83,7 +90,7 @@ def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id", min_wo
                 part = batch.slice(at, 1000)
                 digests, ranks = bytearray(), []
                 for rank, s in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    mine = {x for x in names(s, units(s), min_words) if x is not None} if s else ()
+                    mine = {x for *_, x in names(s, units(s), min_words)} if s else ()
                     for x in mine:
                         digests += x.to_bytes(16, "big")
                     ranks.append((rank, len(mine)))
@@ -106,14 +113,18 @@ REMOVED = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.Stru
 def clean(text: str, kept: set[int], min_words: int = MIN_WORDS) -> tuple[str, int, list[tuple[int, int]]]:
     """The text without repeated units, the number of its units, and the removed spans, neighbours joined."""
     spans, seen, parts, gone = units(text), set(), [], []
-    for (a, b), name in zip(spans, names(text, spans, min_words), strict=True):
-        if name is None or (name not in seen and _halves(name)[0] in kept):
+    stays = [True] * len(spans)
+    for first, after, name in names(text, spans, min_words):
+        if name in seen or _halves(name)[0] not in kept:
+            stays[first:after] = [False] * (after - first)
+        seen.add(name)
+    for (a, b), stay in zip(spans, stays, strict=True):
+        if stay:
             parts.append(text[a:b])
         elif gone and gone[-1][1] == a:
             gone[-1] = (gone[-1][0], b)
         else:
             gone.append((a, b))
-        seen.add(name)
     return "".join(parts), len(spans), gone
 
 

@@ -361,6 +361,23 @@ def test_passages_go_and_clean_texts_stay(spark):
             assert rest == got[i]["text"]
 
 
+def test_short_lines_go_whatever_stands_before(spark):
+    own = lambda i: " ".join(words(12, 50 + i, 10**6))
+    rows = [(i, f"{own(i)}\nHome page\n{own(100 + i)} Yes.\nShare this. Print.\n{own(200 + i)}, yes.") for i in range(5)]
+    got = {r["doc_id"]: r["text"] for r in units.dedup_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == rows[0][1]
+    for i, text in rows[1:]:
+        assert got[i] == text.replace("Home page\n", "").replace("Share this. Print.\n", "")
+
+
+def test_a_line_counts_once_however_its_units_are_named():
+    text = "a b. c\n \nx\nx. \n\nlast line here"
+    spans = units.units(text)
+    kept = {units._halves(d)[0] for *_, d in units.names(text, spans)}
+    assert units.clean(text, kept)[0] == text
+    assert units.clean(text + "\nx", kept)[0] == text + "\n"
+
+
 # 1. Importance resampling.
 
 
