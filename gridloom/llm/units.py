@@ -1,10 +1,14 @@
-"""Substring dedup by hashing lines and the clauses in them.
+"""Substring dedup by hashing lines, the clauses in them and the parts of long clauses.
 
-Units are a text's lines, cut further after marks that end sentences and clauses, so a passage that was put into the middle of
-a line is made of units of its own, but for its outermost words. A unit is normalised (lower case, single spaces) and named by a 128-bit digest. A whole line has a digest
-whatever its length. A clause of fewer than MIN_WORDS words that is cut out of a line is named together with the units before
+Units are a text's lines, cut further after marks that end sentences and clauses, and in clauses of more than REACH words at places
+that the words around choose (least hash of two words, as in winnowing). So a passage that was put into the middle of
+a line is made of units of its own, but for its outermost words, wherever it begins and whatever was edited next to it: any 50
+words in a row hold at least one whole unit together with what names it.
+
+A unit is normalised (lower case, single spaces) and named by a 128-bit digest. Whole clauses of at least MIN_WORDS words have a
+digest, and whole lines whatever their length. A unit of fewer than MIN_WORDS words that is cut out of a line is named together with the units before
 it, back to MIN_WORDS words, so that `Yes.` inside a line goes only where what leads to it is repeated too; one with fewer
-words before it in the text goes only with its line. A unit goes if its own digest or its line's is repeated.
+words before it in the text goes only with its clause or line. A unit goes if its own digest, its clause's or its line's is repeated.
 
 Digests are grouped globally for the least document id; within a document the first place counts. What comes back to
 a document is the list of digests it keeps, keyed by document, so a line that a third of all documents hold needs no
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,49 +33,132 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from gridloom.llm.common import CHUNK, _powers, mix
+
 MIN_WORDS = 8
 _BREAK = re.compile(r"\n\s*|(?<=[.!?,;:])[ \t]+")
+_BLANK = re.compile(r"\s")
 _LAST = (1 << 63) - 1
+#: Places between words of which one at least is a cut. Up to 10, any 50 words in a row hold a whole unit with what names it.
+REACH = 10
+_ODD = 0x9E3779B97F4A7C15
+#: A value for each character, case ignored, and 0 for white space; beyond these characters there is neither.
+_VALUES = mix(np.array([0 if chr(i).isspace() else ord(chr(i).lower()[0]) + 1 for i in range(0x20000)], np.uint64))
+
+
+def _clauses(text: str) -> list[int]:
+    """Where clauses end, breaks after them included."""
+    ends = [e for m in _BREAK.finditer(text) if (e := m.end())]
+    if text and (not ends or ends[-1] < len(text)):
+        ends.append(len(text))
+    return ends
+
+
+def _words(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Start and 64-bit hash of each word, case ignored; temporary memory is bounded by CHUNK and the longest word."""
+    starts, hashes, at = [], [], 0
+    while at < len(text):
+        end = at + CHUNK
+        if end < len(text):
+            end = m.start() if (m := _BLANK.search(text, end)) else len(text)
+        code = np.frombuffer(text[at:end].encode("utf-32-le", "surrogatepass"), "<u4")
+        value = _VALUES.take(code, mode="clip")
+        if code.max() >= len(_VALUES):
+            value = np.where(code < len(_VALUES), value, mix(code.astype(np.uint64)))
+        word = np.zeros(len(code) + 2, bool)
+        word[1:-1] = value > 0
+        a, b = np.flatnonzero(word[1:] & ~word[:-1]), np.flatnonzero(word[:-1] & ~word[1:])
+        power, inverse = _powers(len(code))
+        sums = np.zeros(len(code) + 1, np.uint64)
+        np.cumsum(value * power[: len(code)], out=sums[1:])
+        starts.append(a + at)
+        hashes.append(mix((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64)))
+        at = end
+    return np.concatenate(starts), np.concatenate(hashes)
+
+
+def _cuts(text: str, ends: list[int]) -> list[int]:
+    """Where clauses of more than REACH words are cut: before the word that follows the least hash of two words among any REACH
+    places between words in a row none of which ends a clause."""
+    starts, words = _words(text)
+    n = len(words)
+    if n <= REACH:
+        return []
+    place = words * np.uint64(_ODD)
+    place[1:] += words[:-1]
+    place = (mix(place) >> np.uint64(1)) + np.uint64(1)
+    last = np.searchsorted(starts, ends) - 1
+    place[last[last >= 0]] = 0
+    place[-1] = 0
+    # The last of equal ones, so that a row of one word is cut everywhere.
+    windows = np.lib.stride_tricks.sliding_window_view(place, REACH)[:, ::-1]
+    least = np.concatenate([windows[at : at + CHUNK // 8].argmin(axis=1) for at in range(0, len(windows), CHUNK // 8)])
+    found = np.arange(REACH - 1, n) - least
+    found = found[np.flatnonzero(np.diff(found, prepend=-1))]
+    return starts[found[place[found] > 0] + 1].tolist()
 
 
 def units(text: str) -> list[tuple[int, int]]:
     """Start of each unit and of the next: units and the breaks after them make up the text."""
-    found, at = [], 0
-    for m in _BREAK.finditer(text):
-        if m.end() > at:
-            found.append((at, m.end()))
-            at = m.end()
-    if at < len(text):
-        found.append((at, len(text)))
-    return found
+    return _spans(text, _clauses(text))
+
+
+def _spans(text: str, ends: list[int]) -> list[tuple[int, int]]:
+    return list(pairwise([0, *sorted({*ends, *_cuts(text, ends)})])) if ends else []
 
 
-def names(text: str, spans: list[tuple[int, int]], min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
+def names(text: str, spans: list[tuple[int, int]], min_words: int = MIN_WORDS, clauses: list[int] | None = None) -> list[tuple[int, int, int]]:
     """What may go: first unit, unit after the last, and the 128-bit digest by which these go."""
-    said: list[list[str]] = []
+    said: list[str] = []
+    size: list[int] = []
     out: list[tuple[int, int, int]] = []
-    line: list[int] = []  # the units of the line so far that have words
+    ends = set(_clauses(text) if clauses is None else clauses)
+    low = text.lower()
+    even = len(low) == len(text)
+    line: list[list[int]] = [[]]  # the line's clauses so far: their units that have words
     for k, (a, b) in enumerate(spans):
-        said.append(text[a:b].lower().split())
-        if said[k]:
-            line.append(k)
-        if line and (k == len(spans) - 1 or text.find("\n", a, b) >= 0):
-            if len(line) == 1 or any(len(said[u]) < min_words for u in line):
-                out.append((line[0], line[-1] + 1, _digest([w for u in line for w in said[u]])))
-            if len(line) > 1:
-                for u in line:
-                    first, n = u, len(said[u])
-                    while n < min_words and first > 0:
-                        first -= 1
-                        n += len(said[first])
-                    if n >= min_words:
-                        out.append((u, u + 1, _digest(*(w for w in said[first : u + 1] if w))))
-            line = []
+        words = (low[a:b] if even else text[a:b].lower()).split()
+        said.append(" ".join(words))
+        size.append(len(words))
+        if words:
+            line[-1].append(k)
+        if b not in ends:
+            continue
+        if k < len(spans) - 1 and text.find("\n", a, b) < 0:
+            line.append([])
+            continue
+        filled = [c for c in line if c]
+        line = [[]]
+        if not filled:
+            continue
+        alone = len(filled) == 1
+        if alone or any(size[c[0]] < min_words and sum(size[u] for u in c) < min_words for c in filled):
+            out.append((filled[0][0], filled[-1][-1] + 1, _digest(" ".join([said[u] for c in filled for u in c]))))
+        for c in filled:
+            if len(c) == 1:
+                if alone:
+                    continue
+            elif not alone and sum(size[u] for u in c) >= min_words:
+                out.append((c[0], c[-1] + 1, _digest(" ".join([said[u] for u in c]))))
+            for u in c:
+                n = size[u]
+                if n >= min_words:
+                    out.append((u, u + 1, _digest(said[u])))
+                    continue
+                first = u
+                while n < min_words and first > 0:
+                    first -= 1
+                    n += size[first]
+                if n >= min_words:
+                    out.append((u, u + 1, _digest("\x00".join([w for w in said[first : u + 1] if w]))))
     return out
 
 
-def _digest(*parts: list[str]) -> int:
-    return xxhash.xxh3_128_intdigest("\x00".join(map(" ".join, parts)).encode("utf-8", "surrogatepass"))
+def _digest(key: str) -> int:
+    try:
+        return xxhash.xxh3_128_intdigest(key)
+    except UnicodeEncodeError:
+        return xxhash.xxh3_128_intdigest(key.encode("utf-8", "surrogatepass"))
 
 
 def _halves(digest: int) -> tuple[int, int]:
@@ -90,7 +178,8 @@ def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id", min_wo
                 part = batch.slice(at, 1000)
                 digests, ranks = bytearray(), []
                 for rank, s in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    mine = {x for *_, x in names(s, units(s), min_words)} if s else ()
+                    ends = _clauses(s) if s else []
+                    mine = {x for *_, x in names(s, _spans(s, ends), min_words, ends)} if s else ()
                     for x in mine:
                         digests += x.to_bytes(16, "big")
                     ranks.append((rank, len(mine)))
@@ -112,9 +201,10 @@ REMOVED = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.Stru
 
 def clean(text: str, kept: set[int], min_words: int = MIN_WORDS) -> tuple[str, int, list[tuple[int, int]]]:
     """The text without repeated units, the number of its units, and the removed spans, neighbours joined."""
-    spans, seen, parts, gone = units(text), set(), [], []
+    ends, seen, parts, gone = _clauses(text), set(), [], []
+    spans = _spans(text, ends)
     stays = [True] * len(spans)
-    for first, after, name in names(text, spans, min_words):
+    for first, after, name in names(text, spans, min_words, ends):
         if name in seen or _halves(name)[0] not in kept:
             stays[first:after] = [False] * (after - first)
         seen.add(name)

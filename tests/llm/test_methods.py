@@ -378,6 +378,34 @@ def test_a_line_counts_once_however_its_units_are_named():
     assert units.clean(text + "\nx", kept)[0] == text + "\n"
 
 
+@pytest.mark.parametrize("marks", [0, 0.03, 0.1, 0.3])
+def test_no_fifty_words_of_an_earlier_text_stay(marks):
+    rng = random.Random(marks)
+
+    def prose(n):
+        return [f"w{rng.randrange(10**6)}" + (rng.choice([".", ",", "\n"]) if rng.random() < marks else "") for _ in range(n)]
+
+    for _ in range(150):
+        run = prose(50)
+        one, two = (" ".join(prose(rng.randrange(80)) + run + prose(rng.randrange(80))) for _ in range(2))
+        first = {d for *_, d in units.names(one, units.units(one))}
+        kept = {units._halves(d)[0] for *_, d in units.names(two, units.units(two)) if d not in first}
+        text, n, gone = units.clean(two, kept)
+        left = re.findall(r"\S+", text)
+        assert " ".join(w.strip() for w in run).split() not in [left[i : i + 50] for i in range(len(left) - 49)]
+        cut = sum(len(two[a:b].split()) for a, b in gone)
+        assert 0 < cut <= 50 and n == len(units.units(two))
+
+
+def test_long_units_are_cut_alike_in_chunks_and_in_any_case(monkeypatch):
+    text = " ".join(words(300, 3, 10**6)) + "\u00a0É é\U00010400 " + "x" * 200 + " " + " ".join(words(30, 4))
+    whole = units.units(text)
+    assert max(len(text[a:b].split()) for a, b in whole) <= units.REACH + 1
+    assert whole == units.units(text.upper())
+    monkeypatch.setattr(units, "CHUNK", 64)
+    assert units.units(text) == whole and "".join(text[a:b] for a, b in whole) == text
+
+
 # 1. Importance resampling.
 
 
