@@ -7,8 +7,9 @@ exception.
 
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the text with A-Z in lower case.
 
-Defined results: a null or empty text has no words, no places and score 0; an expression that doesn't parse gives the
-label of each licence id in it and no terms; repeated rows are each scanned; other columns are ignored.
+Defined results: a null or empty text has no words, no places and score 0; an expression reaches to the end of its line or to the
+next tag, and its longest start that parses counts; one without such a start gives the label of each licence id in it and no terms
+(up to where it breaks any name, behind that names of known families); repeated rows are each scanned; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ NAMES = ("public", "permissive", "weak copyleft", "copyleft", "restricted")
 TAG_WEIGHT, PHRASE_WEIGHT = 0.95, 0.8
 
 _WORD = bytes(i if i >= 128 or 48 <= i < 58 or 97 <= i < 123 else i + 32 if 65 <= i < 91 else 32 for i in range(256))
-_EXPRESSION = re.compile(r"[\t ]*([^\r\n]{0,1000})")
+_EXPRESSION = re.compile(r"[\t ]*([^\r\n]*)")
 _TOKEN = re.compile(r"[()]|[a-z0-9.+-]*[a-z0-9+]", re.ASCII)
 _TOKENS = re.compile(rf"(?:\s*(?:{_TOKEN.pattern}))*", re.ASCII)
 _BINDS = {"or": 1, "and": 2, "with": 3}
@@ -63,82 +64,119 @@ class Node:
     right: Node | None = None
 
 
-def parse(expression: str) -> Node:
-    """The tree of a licence expression; ValueError if it isn't one."""
+def _read(tokens: list[str]) -> tuple[list[Node], list[str], int, int]:
+    """Operands and operators, how many tokens the longest start that is an expression has, and how many any expression can start with."""
     out: list[Node] = []
     ops: list[str] = []
+    brackets = whole = 0
+    operand = True
+    for n, token in enumerate(tokens):
+        try:
+            if token == "(":
+                if not operand:
+                    raise ValueError("an operator is missing")
+                ops.append(token)
+                brackets += 1
+            elif token == ")":
+                while ops and ops[-1] != "(":
+                    _reduce(out, ops)
+                if operand or not ops:
+                    raise ValueError("a bracket has no other")
+                ops.pop()
+                brackets -= 1
+            elif token in _BINDS:
+                if operand:
+                    raise ValueError("an operand is missing")
+                while ops and ops[-1] != "(" and _BINDS[ops[-1]] >= _BINDS[token]:
+                    _reduce(out, ops)
+                ops.append(token)
+                operand = True
+            else:
+                if not operand:
+                    raise ValueError("an operator is missing")
+                out.append(Node("id", token))
+                operand = False
+            if not operand and not brackets:
+                if ops and ops[-1] == "with":
+                    _reduce(out, ops)
+                whole = n + 1
+        except ValueError:
+            return out, ops, whole, n
+    return out, ops, whole, len(tokens)
 
-    def reduce():
-        op = ops.pop()
-        if len(out) < 2:
-            raise ValueError("an operand is missing")
-        right = out.pop()
-        if op == "with" and (right.op != "id" or out[-1].op != "id"):
-            raise ValueError("with joins a licence and an exception")
-        out.append(Node(op, out.pop(), right))
 
-    operand = True
-    for token in _TOKEN.findall(expression.lower()):
-        if token == "(":
-            if not operand:
-                raise ValueError("an operator is missing")
-            ops.append(token)
-        elif token == ")":
-            while ops and ops[-1] != "(":
-                reduce()
-            if operand or not ops:
-                raise ValueError("a bracket has no other")
-            ops.pop()
-        elif token in _BINDS:
-            if operand:
-                raise ValueError("an operand is missing")
-            while ops and ops[-1] != "(" and _BINDS[ops[-1]] >= _BINDS[token]:
-                reduce()
-            ops.append(token)
-            operand = True
-        else:
-            if not operand:
-                raise ValueError("an operator is missing")
-            out.append(Node("id", token))
-            operand = False
-    while ops:
-        if ops[-1] == "(":
-            raise ValueError("a bracket has no other")
-        reduce()
-    if len(out) != 1:
+def _reduce(out: list[Node], ops: list[str]) -> None:
+    op = ops.pop()
+    if len(out) < 2:
+        raise ValueError("an operand is missing")
+    right = out.pop()
+    if op == "with" and (right.op != "id" or out[-1].op != "id"):
+        raise ValueError("with joins a licence and an exception")
+    out.append(Node(op, out.pop(), right))
+
+
+def _tree(tokens: list[str]) -> Node:
+    out, ops, whole, _ = _read(tokens)
+    if not tokens or whole != len(tokens):
         raise ValueError("no expression")
+    while ops:
+        _reduce(out, ops)
     return out[0]
 
 
+def parse(expression: str) -> Node:
+    """The tree of a licence expression; ValueError if it isn't one."""
+    return _tree(_TOKEN.findall(expression.lower()))
+
+
 def licenses(node: Node) -> set[str]:
-    if node.op == "id":
-        return {node.left}
-    return licenses(node.left) | (licenses(node.right) if node.op != "with" else set())
+    found, todo = set(), [node]
+    while todo:
+        node = todo.pop()
+        if node.op == "id":
+            found.add(node.left)
+        else:
+            todo += [node.left] if node.op == "with" else [node.left, node.right]
+    return found
+
+
+def _family(name: str) -> str | None:
+    return max((k for k in TERMS if name.startswith(k)), key=len, default=None)
 
 
 def terms(node: Node) -> int | None:
     """How much the expression asks, as a place in NAMES; None if a licence that matters isn't known."""
-    if node.op == "id":
-        known = [k for k in TERMS if node.left.startswith(k)]
-        return TERMS[max(known, key=len)] if known else None
-    a = terms(node.left)
-    if node.op == "with":
-        return a and max(a - 1, 1)
-    b = terms(node.right)
-    if node.op == "or":
-        return min((x for x in (a, b) if x is not None), default=None)
-    return None if a is None or b is None else max(a, b)
-
-
-def _leading(text: str) -> Node:
-    """The longest start of a text that is an expression: what follows a tag on its line may go on as prose."""
-    words = _TOKEN.findall(_TOKENS.match(text.lower())[0])[:64]
-    for n in range(len(words), 0, -1):
-        try:
-            return parse(" ".join(words[:n]))
-        except ValueError:
+    order, todo = [], [node]
+    while todo:
+        order.append(node := todo.pop())
+        if node.op != "id":
+            todo += [node.left, node.right]
+    asked: list[int | None] = []
+    for node in reversed(order):
+        if node.op == "id":
+            family = _family(node.left)
+            asked.append(None if family is None else TERMS[family])
+            continue
+        b, a = asked.pop(), asked.pop()
+        if node.op == "with":
+            asked.append(a and max(a - 1, 1))
+        elif node.op == "or":
+            asked.append(min((x for x in (a, b) if x is not None), default=None))
+        else:
+            asked.append(None if a is None or b is None else max(a, b))
+    return asked[0]
+
+
+def _loose(tokens: list[str], stop: int) -> set[str]:
+    """The licence ids of tokens that are no expression; behind `stop`, where it breaks, only names of known families."""
+    found = set()
+    for n, token in enumerate(tokens):
+        if token in _BINDS or token in "()" or (n and tokens[n - 1] == "with"):
             continue
-    raise ValueError("no expression")
+        family = _family(token)
+        if n < stop or (family and token[len(family) :][:1] in ("", "-")):
+            found.add(token)
+    return found
 
 
 class Scanner:
@@ -164,17 +202,19 @@ class Scanner:
         found, asked, tagged = [], [], 0
         lower = text.lower() if "icense-" in text or "ICENSE-" in text else ""
         if lower:
-            at = -1
-            for end, _ in self.tags.iter(lower):
-                if end == at:
-                    continue
-                at = end
-                tagged += 1
-                rest = _EXPRESSION.match(lower, end + 1)[1]
-                try:
-                    tree = _leading(rest)
-                except ValueError:
+            sizes: dict[int, int] = {}
+            for end, tag in self.tags.iter(lower):
+                sizes[end] = max(sizes.get(end, 0), len(tag))
+            tagged = len(sizes)
+            nexts = [*(end + 1 - size for end, size in sizes.items()), len(lower)][1:]
+            for end, until in zip(sizes, nexts, strict=True):
+                rest = _EXPRESSION.match(lower, end + 1, max(until, end + 1))[1]
+                tokens = _TOKEN.findall(_TOKENS.match(rest)[0])
+                *_, whole, stop = _read(tokens)
+                if not whole:
+                    labels |= _loose(tokens, stop)
                     continue
+                tree = _tree(tokens[:whole])
                 found.append(rest.strip())
                 labels |= licenses(tree)
                 asked.append(terms(tree))

@@ -170,6 +170,38 @@ def test_license_tag_in_prose():
     assert got[5] == "gpl-2.0-only,mit" and got[8] == "permissive" and 0 < got[6] <= 1
 
 
+def test_license_expressions_of_any_length():
+    scan = licenses.Scanner(licenses.BASE, licenses.MORE, licenses.TAGS).scan
+    tag = "SPDX-License-Identifier: "
+    for n in (40, 20_000):
+        many = " AND ".join(["MIT"] * n + ["AGPL-3.0"])
+        for text in (many, f"({many})", f"({many}) */ and so on", "(" * n + many + ")" * n, "MIT AND (" * n + "AGPL-3.0" + ")" * n):
+            got = scan(tag + text)
+            assert (got[5], got[8]) == ("agpl-3.0,mit", "restricted") and got[7] == text.lower()
+    assert scan(f"{tag}MIT\n{tag}ISC {tag}BSD-3-Clause")[5] == "bsd-3-clause,isc,mit"
+
+
+@pytest.mark.parametrize(("text", "labels"), [("(MIT OR Apache-2.0", "apache-2.0,mit"), ("AND MIT", "mit"), ("(GPL-2.0 WITH x AND own-1", "gpl-2.0,own-1"), ("(see the file", "see"), ("((MIT) ISC and mitigate", "isc,mit"), ("", "")])
+def test_license_ids_of_what_does_not_parse(text, labels):
+    got = licenses.Scanner({}, {"none": "none"}, licenses.TAGS).scan("SPDX-License-Identifier: " + text)
+    assert got[5] == labels and got[7] is None and got[8] is None
+
+
+def test_longest_start_against_all_starts():
+    rng = random.Random(7)
+
+    def parses(tokens):
+        try:
+            return bool(licenses.parse(" ".join(tokens)))
+        except ValueError:
+            return False
+
+    for _ in range(3000):
+        tokens = [rng.choice(["mit", "isc", "(", ")", "or", "and", "with"]) for _ in range(rng.randrange(12))]
+        whole = licenses._read(tokens)[2]
+        assert whole == max((n for n in range(len(tokens) + 1) if parses(tokens[:n])), default=0)
+
+
 # 5. Multiset hash.
 
 
