@@ -268,7 +268,8 @@ def _candidates(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
             same = bands[other] == bands[k]
             other = other[same.argmax(axis=1) == place[k]]
         found.append((np.full(len(other), k), other))
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    none = np.empty(0, np.int64)  # a meeting may have the members of one block only, or of the high one
+    return np.concatenate([none, *(f[0] for f in found)]), np.concatenate([none, *(f[1] for f in found)])
 
 
 def _residual(unresolved: DataFrame, signed: DataFrame, docs: DataFrame, text: str, key: str, similarity: float) -> DataFrame:

@@ -309,6 +309,26 @@ def test_shingles_of_short_texts():
     assert [np.bincount(r, minlength=4).tolist() for *_, r in flat] == [[0, 1, 1, 2]]
 
 
+def test_near_texts_in_empty_blocks(spark, monkeypatch):
+    base = words(300, 6, 10**6)
+    texts = {i: " ".join(base[: 300 - 14 * (i % 4)] + words(14 * (i % 4), 700 + i // 4, 10**6)) for i in range(24)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    signed = near_text.sign(docs).cache()
+    members = signed.select(F.explode("bands").alias("bucket"), "id", "weight", F.col("id").alias("comp"))
+    rows = members.join(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket").select("bucket", "id", "weight", "comp", "n").cache()
+
+    def groups(size):
+        monkeypatch.setattr(near_text, "WORDS", size)
+        top = {i: i for i in texts}
+        for a, b in near_text._residual(rows, signed, docs, "text", "doc_id", near_text.SIMILARITY).collect():
+            old, new = max(top[a], top[b]), min(top[a], top[b])
+            top = {i: new if t == old else t for i, t in top.items()}
+        return top
+
+    # Blocks of one text or so: a bucket has more of them than members.
+    assert len(set(groups(400_000).values())) < len(texts) and groups(200) == groups(400_000)
+
+
 # 8. Multi-index.
 
 
