@@ -5,30 +5,33 @@ that the words around choose (least hash of two words, as in winnowing). So a pa
 a line is made of units of its own, but for its outermost words, wherever it begins and whatever was edited next to it: any 50
 words in a row hold at least one whole unit together with what names it.
 
-A unit is normalised (lower case, single spaces) and named by a 128-bit digest. Whole clauses of at least MIN_WORDS words have a
+A unit is normalised (lower case, words only) and named by a 128-bit digest of its words. Whole clauses of at least MIN_WORDS words have a
 digest, and whole lines whatever their length. A unit of fewer than MIN_WORDS words that is cut out of a line is named together with the units before
 it, back to MIN_WORDS words, so that `Yes.` inside a line goes only where what leads to it is repeated too; one with fewer
 words before it in the text goes only with its clause or line. A unit goes if its own digest, its clause's or its line's is repeated.
 
-Digests are grouped globally for the least document id; within a document the first place counts. What comes back to
+Words, units and digests of a run of texts are found together in arrays: a digest is two polynomials of the words' hashes, read
+off running sums, so it costs the same whatever it covers. Temporary memory is bounded by CHUNK and the words of one text.
+
+Digests are grouped globally for the least document; within a document the first place counts. What comes back to
 a document is the list of digests it keeps, keyed by document, so a line that a third of all documents hold needs no
 skewed join: only the grouping sees it, and that sums before the shuffle.
 
-Defined results: a null text stays null and has no units; an empty text stays empty; a null id ranks last; rows that
-share an id are one document in rank and each keeps what it keeps; a text whose units all go becomes empty, its row stays; an
-empty table gives no rows; other columns pass through.
+Defined results: each row is a document. Rows rank by id, then by a hash of the text; a null id ranks after ids below 2**62, by another
+hash of the text; of rows with the same id and text the first one met keeps what they keep and the others keep nothing. A null text
+stays null and has no units; a text without words stays; a text whose units all go becomes empty, its row stays; an
+empty table gives no rows; other columns pass through, and where `docs` has a column named n_units, n_chars_removed or removed,
+the new one's name starts with _gl_.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from itertools import pairwise
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -36,32 +39,37 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from gridloom.llm.common import CHUNK, _powers, mix
 
 MIN_WORDS = 8
-_BREAK = re.compile(r"\n\s*|(?<=[.!?,;:])[ \t]+")
-_BLANK = re.compile(r"\s")
-_LAST = (1 << 63) - 1
+#: Marks that end a clause where white space follows.
+MARKS = ".!?,;:"
 #: Places between words of which one at least is a cut. Up to 10, any 50 words in a row hold a whole unit with what names it.
 REACH = 10
 _ODD = 0x9E3779B97F4A7C15
+#: What makes the two halves of a digest, the names of short units and a document's keys apart.
+_FIRST, _SECOND, _SHORT, _SIZE = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3))
 #: A value for each character, case ignored, and 0 for white space; beyond these characters there is neither.
 _VALUES = mix(np.array([0 if chr(i).isspace() else ord(chr(i).lower()[0]) + 1 for i in range(0x20000)], np.uint64))
+_MARK = np.zeros(128, bool)
+_MARK[[ord(c) for c in MARKS]] = True
+
 
+@dataclass
+class Words:
+    """The words of texts that are joined by line breaks."""
 
-def _clauses(text: str) -> list[int]:
-    """Where clauses end, breaks after them included."""
-    ends = [e for m in _BREAK.finditer(text) if (e := m.end())]
-    if text and (not ends or ends[-1] < len(text)):
-        ends.append(len(text))
-    return ends
+    start: np.ndarray  # of each word, in the joined text
+    hash: np.ndarray
+    clause: np.ndarray  # whether a clause ends after the word
+    line: np.ndarray  # whether a line ends after it
+    doc: np.ndarray
 
 
-def _words(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Start and 64-bit hash of each word, case ignored; temporary memory is bounded by CHUNK and the longest word."""
-    starts, hashes, at = [], [], 0
-    while at < len(text):
-        end = at + CHUNK
-        if end < len(text):
-            end = m.start() if (m := _BLANK.search(text, end)) else len(text)
-        code = np.frombuffer(text[at:end].encode("utf-32-le", "surrogatepass"), "<u4")
+def words_of(texts: list[str]) -> Words:
+    joined = "\n".join(texts)
+    found: list[list[np.ndarray]] = [[], [], [], [], []]
+    at = 0
+    while at < len(joined):
+        end = _blank(joined, at + CHUNK)
+        code = np.frombuffer(joined[at:end].encode("utf-32-le", "surrogatepass"), "<u4")
         value = _VALUES.take(code, mode="clip")
         if code.max() >= len(_VALUES):
             value = np.where(code < len(_VALUES), value, mix(code.astype(np.uint64)))
@@ -71,157 +79,185 @@ def _words(text: str) -> tuple[np.ndarray, np.ndarray]:
         power, inverse = _powers(len(code))
         sums = np.zeros(len(code) + 1, np.uint64)
         np.cumsum(value * power[: len(code)], out=sums[1:])
-        starts.append(a + at)
-        hashes.append(mix((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64)))
+        hashes = mix((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64))
+        for kept, x in zip(found, (a + at, b + at, hashes, _MARK.take(code[b - 1], mode="clip") & (code[b - 1] < 128), np.flatnonzero(code == 10) + at), strict=True):
+            kept.append(x)
         at = end
-    return np.concatenate(starts), np.concatenate(hashes)
+    if not found[0] or not sum(map(len, found[0])):
+        none = np.empty(0, np.int64)
+        return Words(none, none.astype(np.uint64), none.astype(bool), none.astype(bool), none)
+    start, stop, hashes, mark, breaks = map(np.concatenate, found)
+    line = np.ones(len(start), bool)
+    line[:-1] = np.searchsorted(breaks, start[1:]) > np.searchsorted(breaks, stop[:-1])
+    doc = np.searchsorted(_offsets(texts), start, "right") - 1
+    return Words(start, hashes, mark | line, line, doc)
+
+
+def _blank(text: str, at: int) -> int:
+    """The first white space at or after a place, or the text's end."""
+    while at < len(text) and not text[at].isspace():
+        at += 1
+    return min(at, len(text))
+
+
+def _offsets(texts: list[str]) -> np.ndarray:
+    """Where each text starts in the joined text."""
+    return np.cumsum([0, *(len(s) + 1 for s in texts[:-1])])
 
 
-def _cuts(text: str, ends: list[int]) -> list[int]:
-    """Where clauses of more than REACH words are cut: before the word that follows the least hash of two words among any REACH
-    places between words in a row none of which ends a clause."""
-    starts, words = _words(text)
-    n = len(words)
+def _cuts(w: Words) -> np.ndarray:
+    """Whether a clause of more than REACH words is cut after each word: after the word with the least hash of it and the word before, among any
+    REACH places between words in a row none of which ends a clause."""
+    n = len(w.hash)
+    out = np.zeros(n, bool)
     if n <= REACH:
-        return []
-    place = words * np.uint64(_ODD)
-    place[1:] += words[:-1]
+        return out
+    place = w.hash * np.uint64(_ODD)
+    place[1:] += np.where(w.doc[1:] == w.doc[:-1], w.hash[:-1], np.uint64(0))
     place = (mix(place) >> np.uint64(1)) + np.uint64(1)
-    last = np.searchsorted(starts, ends) - 1
-    place[last[last >= 0]] = 0
-    place[-1] = 0
+    place[w.clause] = 0
     # The last of equal ones, so that a row of one word is cut everywhere.
     windows = np.lib.stride_tricks.sliding_window_view(place, REACH)[:, ::-1]
-    least = np.concatenate([windows[at : at + CHUNK // 8].argmin(axis=1) for at in range(0, len(windows), CHUNK // 8)])
-    found = np.arange(REACH - 1, n) - least
-    found = found[np.flatnonzero(np.diff(found, prepend=-1))]
-    return starts[found[place[found] > 0] + 1].tolist()
+    for at in range(0, len(windows), CHUNK // 8):
+        part = windows[at : at + CHUNK // 8]
+        out[np.arange(at, at + len(part)) + REACH - 1 - part.argmin(axis=1)] = True
+    return out & (place > 0)
+
+
+class Cut:
+    """The units of texts and the names by which they may go: first unit, unit after the last, digest halves and document of each name."""
+
+    def __init__(self, texts: list[str], min_words: int = MIN_WORDS):
+        self.texts, self.offsets = texts, _offsets(texts) if texts else np.empty(0, np.int64)
+        w = words_of(texts)
+        self.last = np.flatnonzero(w.clause | _cuts(w))
+        self.first = np.concatenate([np.zeros(1, np.int64), self.last[:-1] + 1])[: len(self.last)]
+        self.size, self.doc, self.start = self.last - self.first + 1, w.doc[self.first], w.start[self.first]
+        self.n_units = np.bincount(self.doc, minlength=len(texts))
+        self._name(w, min_words)
+
+    def _name(self, w: Words, min_words: int) -> None:
+        power, inverse = (p[: len(w.hash)] for p in _powers(len(w.hash)))
+        sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(w.hash ^ salt) * power)]) for salt in (_FIRST, _SECOND)]
+        clause_last, line_last = np.flatnonzero(w.clause), np.flatnonzero(w.line)
+        clause_of = np.searchsorted(clause_last, self.last)  # of each unit
+        line_of = np.searchsorted(line_last, clause_last)  # of each clause
+        clause_size, clause_units = np.diff(clause_last, prepend=-1), np.bincount(clause_of, minlength=len(clause_last))
+        line_clauses = np.bincount(line_of, minlength=len(line_last))
+        with_short = np.bincount(line_of, clause_size < min_words, minlength=len(line_last)) > 0
+        whole = np.flatnonzero((line_clauses == 1) | with_short)
+        alone = line_clauses[line_of] == 1
+        several = np.flatnonzero((clause_units > 1) & ~alone & (clause_size >= min_words))
+        own = ~((clause_units == 1) & alone)[clause_of]
+        long = np.flatnonzero(own & (self.size >= min_words))
+        short = np.flatnonzero(own & (self.size < min_words))
+        behind = self.last[short] + 1 - min_words
+        doc_first = np.searchsorted(w.doc, self.doc[short])
+        short, behind = short[behind >= doc_first], behind[behind >= doc_first]
+        context = self.first[np.searchsorted(self.first, behind, "right") - 1]
+        unit_at = lambda word: np.searchsorted(self.first, word)
+        line_first, clause_first = np.concatenate([[0], line_last + 1])[whole], np.concatenate([[0], clause_last + 1])[several]
+        none = np.uint64(0)
+        parts = [
+            (line_first, line_last[whole] + 1, unit_at(line_first), unit_at(line_last[whole] + 1), none),
+            (clause_first, clause_last[several] + 1, unit_at(clause_first), unit_at(clause_last[several] + 1), none),
+            (self.first[long], self.last[long] + 1, long, long + 1, none),
+            (context, self.last[short] + 1, short, short + 1, _SHORT * self.size[short].astype(np.uint64)),
+        ]
+        a, b, self.begin, self.after = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in range(4))
+        salt = np.concatenate([np.broadcast_to(p[4], len(p[0])) for p in parts])
+        self.digest = [mix((s[b] - s[a]) * inverse[a] + (b - a).astype(np.uint64) * _SIZE + salt) if len(a) else np.empty(0, np.uint64) for s in sums]
+        self.owner = self.doc[self.begin] if len(a) else np.empty(0, np.int64)
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each document's digests once: their halves and the document."""
+        order = np.lexsort((self.begin, self.digest[0], self.owner))
+        d, o = self.digest[0][order], self.owner[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (d[1:] != d[:-1]) | (o[1:] != o[:-1])
+        self._repeats = order[~new]
+        return d[new], self.digest[1][order][new], o[new]
+
+    def clean(self, kept: np.ndarray, kept_by: np.ndarray) -> list[tuple[str, list[tuple[int, int]]]]:
+        """Each text without the units that go, and their spans, neighbours joined; `kept` are first halves of digests and `kept_by` their documents."""
+        self.distinct()
+        key = lambda digest, doc: mix(digest + mix(doc.astype(np.uint64) * np.uint64(_ODD)))
+        goes = ~np.isin(key(self.digest[0], self.owner), key(kept, kept_by))
+        goes[self._repeats] = True
+        depth = np.zeros(len(self.first) + 1, np.int64)
+        np.add.at(depth, self.begin[goes], 1)
+        np.add.at(depth, self.after[goes], -1)
+        gone = np.cumsum(depth)[:-1] > 0
+        out = [(s, []) for s in self.texts]
+        edge = np.concatenate([[0], np.cumsum(self.n_units)])
+        for i in np.unique(self.doc[gone]).tolist():
+            a, b, text = edge[i], edge[i + 1], self.texts[i]
+            at = self.start[a:b] - self.offsets[i]
+            at[0] = 0
+            flag = np.concatenate([[False], gone[a:b], [False]])
+            ends = np.append(at, len(text))
+            spans = list(zip(ends[np.flatnonzero(flag[1:] & ~flag[:-1])].tolist(), ends[np.flatnonzero(flag[:-1] & ~flag[1:])].tolist(), strict=True))
+            stays = zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(text)], strict=True)
+            out[i] = ("".join([text[x:y] for x, y in stays]), spans)
+        return out
 
 
 def units(text: str) -> list[tuple[int, int]]:
     """Start of each unit and of the next: units and the breaks after them make up the text."""
-    return _spans(text, _clauses(text))
-
-
-def _spans(text: str, ends: list[int]) -> list[tuple[int, int]]:
-    return list(pairwise([0, *sorted({*ends, *_cuts(text, ends)})])) if ends else []
-
-
-def names(text: str, spans: list[tuple[int, int]], min_words: int = MIN_WORDS, clauses: list[int] | None = None) -> list[tuple[int, int, int]]:
-    """What may go: first unit, unit after the last, and the 128-bit digest by which these go."""
-    said: list[str] = []
-    size: list[int] = []
-    out: list[tuple[int, int, int]] = []
-    ends = set(_clauses(text) if clauses is None else clauses)
-    low = text.lower()
-    even = len(low) == len(text)
-    line: list[list[int]] = [[]]  # the line's clauses so far: their units that have words
-    for k, (a, b) in enumerate(spans):
-        words = (low[a:b] if even else text[a:b].lower()).split()
-        said.append(" ".join(words))
-        size.append(len(words))
-        if words:
-            line[-1].append(k)
-        if b not in ends:
-            continue
-        if k < len(spans) - 1 and text.find("\n", a, b) < 0:
-            line.append([])
-            continue
-        filled = [c for c in line if c]
-        line = [[]]
-        if not filled:
-            continue
-        alone = len(filled) == 1
-        if alone or any(size[c[0]] < min_words and sum(size[u] for u in c) < min_words for c in filled):
-            out.append((filled[0][0], filled[-1][-1] + 1, _digest(" ".join([said[u] for c in filled for u in c]))))
-        for c in filled:
-            if len(c) == 1:
-                if alone:
-                    continue
-            elif not alone and sum(size[u] for u in c) >= min_words:
-                out.append((c[0], c[-1] + 1, _digest(" ".join([said[u] for u in c]))))
-            for u in c:
-                n = size[u]
-                if n >= min_words:
-                    out.append((u, u + 1, _digest(said[u])))
-                    continue
-                first = u
-                while n < min_words and first > 0:
-                    first -= 1
-                    n += size[first]
-                if n >= min_words:
-                    out.append((u, u + 1, _digest("\x00".join([w for w in said[first : u + 1] if w]))))
-    return out
-
-
-def _digest(key: str) -> int:
-    try:
-        return xxhash.xxh3_128_intdigest(key)
-    except UnicodeEncodeError:
-        return xxhash.xxh3_128_intdigest(key.encode("utf-8", "surrogatepass"))
-
-
-def _halves(digest: int) -> tuple[int, int]:
-    high, low = digest >> 64, digest & (2**64 - 1)
-    return high - (1 << 64) if high >> 63 else high, low - (1 << 64) if low >> 63 else low
+    starts = Cut([text]).start.tolist()
+    return list(zip([0, *starts[1:]], [*starts[1:], len(text)], strict=True)) if starts else []
+
+
+def _runs(texts: list[str | None]) -> Iterator[tuple[int, int, list[str]]]:
+    """Rows in runs of about CHUNK characters; a null is empty."""
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end] or "") <= CHUNK):
+            size += len(texts[end] or "")
+            end += 1
+        yield at, end, [s or "" for s in texts[at:end]]
+        at = end
+
+
+def _rank(text: str, key: str) -> list[Column]:
+    """A document's rank, and what tells rows of one id apart."""
+    return [F.coalesce(F.col(key).cast("long"), F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(text), 2)), F.hash(text)]
 
 
 def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """(_h1, _h2, _rank): each digest of a document once."""
-    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("_rank"), F.col(text).alias("_text"))
-    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("_h1", "_h2", "_rank")])
-    arrow = to_arrow_schema(schema)
+    """(_h1, _h2, _rank, _tie): each digest of a document once."""
+    rank, tie = _rank(text, key)
+    rows = docs.select(rank.alias("_rank"), tie.alias("_tie"), F.col(text).alias("_text"))
+    schema = T.StructType([T.StructField("_h1", T.LongType()), T.StructField("_h2", T.LongType()), T.StructField("_rank", T.LongType()), T.StructField("_tie", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                digests, ranks = bytearray(), []
-                for rank, s in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    ends = _clauses(s) if s else []
-                    mine = {x for *_, x in names(s, _spans(s, ends), min_words, ends)} if s else ()
-                    for x in mine:
-                        digests += x.to_bytes(16, "big")
-                    ranks.append((rank, len(mine)))
-                halves = np.frombuffer(bytes(digests), ">i8").astype(np.int64).reshape(-1, 2)
-                owner = np.repeat(np.array([r for r, _ in ranks], np.int64), [n for _, n in ranks])
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1])), pa.array(owner)], schema=arrow)
+            rank, tie = (batch.column(k).to_numpy() for k in range(2))
+            for a, b, texts in _runs(batch.column(2).to_pylist()):
+                one, two, owner = Cut(texts, min_words).distinct()
+                yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(rank[a:b][owner]), pa.array(tie[a:b][owner])], names=["_h1", "_h2", "_rank", "_tie"])
 
     return rows.mapInArrow(run, schema)
 
 
 def kept_digests(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """(_rank, _kept): for each document the digests whose earliest document it is."""
-    first = occurrences(docs, text, key, min_words).groupBy("_h1", "_h2").agg(F.min("_rank").alias("_rank"))
-    return first.groupBy("_rank").agg(F.collect_list("_h1").alias("_kept"))
+    """(_rank, _tie, _kept): for each document the digests whose earliest document it is."""
+    first = occurrences(docs, text, key, min_words).groupBy("_h1", "_h2").agg(F.min(F.struct("_rank", "_tie")).alias("_by"))
+    return first.groupBy("_by._rank", "_by._tie").agg(F.collect_list("_h1").alias("_kept"))
 
 
 REMOVED = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
-def clean(text: str, kept: set[int], min_words: int = MIN_WORDS) -> tuple[str, int, list[tuple[int, int]]]:
-    """The text without repeated units, the number of its units, and the removed spans, neighbours joined."""
-    ends, seen, parts, gone = _clauses(text), set(), [], []
-    spans = _spans(text, ends)
-    stays = [True] * len(spans)
-    for first, after, name in names(text, spans, min_words, ends):
-        if name in seen or _halves(name)[0] not in kept:
-            stays[first:after] = [False] * (after - first)
-        seen.add(name)
-    for (a, b), stay in zip(spans, stays, strict=True):
-        if stay:
-            parts.append(text[a:b])
-        elif gone and gone[-1][1] == a:
-            gone[-1] = (gone[-1][0], b)
-        else:
-            gone.append((a, b))
-    return "".join(parts), len(spans), gone
-
-
 def dedup_units(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
     """The rows of `docs` with the text cleaned, and n_units, n_chars_removed and removed: spans of the original text."""
-    kept = kept_digests(docs, text, key, min_words)
-    joined = docs.withColumn("_gl_rank", F.coalesce(F.col(key).cast("long"), F.lit(_LAST))).join(kept, F.col("_gl_rank") == kept["_rank"], "left").select(*(docs[c] for c in docs.columns), kept["_kept"].alias("_gl_kept"))
+    kept = kept_digests(docs, text, key, min_words).select(F.col("_rank").alias("_gl_r"), F.col("_tie").alias("_gl_t"), F.col("_kept").alias("_gl_kept"))
+    rank, tie = _rank(text, key)
+    joined = docs.withColumns({"_gl_rank": rank, "_gl_tie": tie}).join(kept, (F.col("_gl_rank") == F.col("_gl_r")) & (F.col("_gl_tie") == F.col("_gl_t")), "left")
+    # The join has dealt and sorted the rows so; of equal ones only the first keeps digests.
+    place = F.row_number().over(Window.partitionBy("_gl_rank", "_gl_tie").orderBy(F.lit(0)))
+    joined = joined.select(*(docs[c] for c in docs.columns), F.when(place == 1, F.col("_gl_kept")).alias("_gl_kept"))
     taken = {"n_units", "n_chars_removed", "removed"} & set(docs.columns)
     own = [f"_gl_{n}" if n in taken else n for n in ("n_units", "n_chars_removed", "removed")]
     schema = T.StructType([*docs.schema, T.StructField(own[0], T.LongType()), T.StructField(own[1], T.LongType()), T.StructField(own[2], REMOVED)])
@@ -230,12 +266,16 @@ def dedup_units(docs: DataFrame, text: str = "text", key: str = "doc_id", min_wo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                made = [(s, 0, []) if s is None else clean(s, set(k or ()), min_words) for s, k in zip(part.column(at).to_pylist(), part.column(part.num_columns - 1).to_pylist(), strict=True)]
+            given = batch.column(at).to_pylist()
+            for a, b, texts in _runs(given):
+                part = batch.slice(a, b - a)
+                lists = part.column(part.num_columns - 1).fill_null([])
+                owner = np.repeat(np.arange(b - a), np.diff(lists.offsets.to_numpy()))
+                cut = Cut(texts, min_words)
+                made = cut.clean(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), owner)
                 columns = [*part.columns[:-1]]
-                columns[at] = pa.array([m[0] for m in made], arrow.field(at).type)
-                spans = [[{"start": a, "end": b} for a, b in m[2]] for m in made]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([m[1] for m in made], pa.int64()), pa.array([sum(b - a for a, b in m[2]) for m in made], pa.int64()), pa.array(spans, arrow.field(len(arrow) - 1).type)], schema=arrow)
+                columns[at] = pa.array([None if s is None else m[0] for s, m in zip(given[a:b], made, strict=True)], arrow.field(at).type)
+                spans = [[{"start": x, "end": y} for x, y in m[1]] for m in made]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(cut.n_units.astype(np.int64)), pa.array([sum(y - x for x, y in m[1]) for m in made], pa.int64()), pa.array(spans, arrow.field(len(arrow) - 1).type)], schema=arrow)
 
     return joined.mapInArrow(run, schema)

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 
@@ -422,12 +423,96 @@ def test_short_lines_go_whatever_stands_before(spark):
         assert got[i] == text.replace("Home page\n", "").replace("Share this. Print.\n", "")
 
 
+def named(text):
+    """What of a text may go, word by word: spans of words and what they go by."""
+    own = [(m.start(), m[0].lower()) for m in re.finditer(r"\S+", text)]
+    starts = {a for a, _ in units.units(text)[1:]}
+    first, line, clause = [], [], []
+    for k, (at, w) in enumerate(own):
+        gap = "\n" if k == 0 else text[own[k - 1][0] + len(own[k - 1][1]) : at]
+        line.append("\n" in gap)
+        clause.append(line[-1] or own[k - 1][1][-1] in ".!?,;:")
+        first.append(clause[-1] or at in starts)
+    said = [w for _, w in own]
+    parts = lambda flags, a, b: [(x, y) for x, y in itertools.pairwise([*(k for k in range(a, b) if k == a or flags[k]), b])]
+    out = []
+    for a, b in parts(line, 0, len(own)) if own else []:
+        clauses = parts(clause, a, b)
+        if len(clauses) == 1 or any(y - x < 8 for x, y in clauses):
+            out.append((a, b, tuple(said[a:b])))
+        for x, y in clauses:
+            own_units = parts(first, x, y)
+            if len(clauses) == 1 and len(own_units) == 1:
+                continue
+            if len(clauses) > 1 and len(own_units) > 1 and y - x >= 8:
+                out.append((x, y, tuple(said[x:y])))
+            for p, q in own_units:
+                back = p
+                while q - back < 8 and back > 0:
+                    back -= 1
+                    while not first[back]:
+                        back -= 1
+                if q - back >= 8:
+                    out.append((p, q, tuple(said[back:q]) if q - p >= 8 else (q - p, *said[back:q])))
+    return [a for a, _ in own], out
+
+
+def dedup_by_loop(rows):
+    """{row: (text, removed)} of (id, text) rows, in the order of ids, rows that share one by the order given."""
+    seen, out = set(), []
+    for text in rows:
+        starts, names = named(text)
+        mine, gone = set(), set()
+        for a, b, name in names:
+            if name in seen or name in mine:
+                gone |= set(range(a, b))
+            mine.add(name)
+        seen |= mine
+        edges = [0, *starts[1:], len(text)]
+        spans = []
+        for k in sorted(gone):
+            if spans and spans[-1][1] == edges[k]:
+                spans[-1] = (spans[-1][0], edges[k + 1])
+            else:
+                spans.append((edges[k], edges[k + 1]))
+        out.append(("".join(text[x:y] for x, y in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(text)], strict=True)), spans))
+    return out
+
+
+def test_units_against_a_loop(spark):
+    docs = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    want = {i: x for (i, _), x in zip(docs, dedup_by_loop([t for _, t in docs]), strict=True)}
+    got = {r["doc_id"]: (r["text"], [(x["start"], x["end"]) for x in r["removed"]]) for r in units.dedup_units(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()}
+    assert got == want
+    assert sum(len(t) for _, t in docs) > 1.05 * sum(len(t) for t, _ in want.values())
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="aaab  .\n", max_size=90), max_size=5))
+def test_units_of_a_run_against_a_loop(texts):
+    found = units.Cut(texts)
+    one, _, owner = found.distinct()
+    first = {}
+    for d, o in zip(one.tolist(), owner.tolist(), strict=True):
+        first[d] = min(o, first.get(d, o))
+    kept = found.clean(np.array(list(first), np.uint64), np.array(list(first.values()), np.int64))
+    assert kept == dedup_by_loop(texts)
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    line = lambda k: " ".join(words(12, 70 + k, 10**6))
+    rows = [(7, line(0)), (7, line(0)), (7, f"{line(1)}\n{line(0)}"), (None, line(2)), (None, f"{line(2)}\n{line(3)}"), (9, f"{line(1)}\n{line(2)}"), (None, None)]
+    got = units.dedup_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    left = "\n".join(r["text"] or "" for r in got).split("\n")
+    assert sorted(x for x in left if x) == sorted(map(line, range(4)))
+    assert {x for r in got if r["doc_id"] for x in r["text"].split("\n") if x} == {line(0), line(1), line(2)}
+
+
 def test_a_line_counts_once_however_its_units_are_named():
+    clean = lambda text: units.Cut([text]).clean(units.Cut([text]).digest[0], units.Cut([text]).owner)[0][0]
     text = "a b. c\n \nx\nx. \n\nlast line here"
-    spans = units.units(text)
-    kept = {units._halves(d)[0] for *_, d in units.names(text, spans)}
-    assert units.clean(text, kept)[0] == text
-    assert units.clean(text + "\nx", kept)[0] == text + "\n"
+    assert clean(text) == text
+    assert clean(text + "\nx") == text + "\n"
 
 
 @pytest.mark.parametrize("marks", [0, 0.03, 0.1, 0.3])
@@ -440,13 +525,13 @@ def test_no_fifty_words_of_an_earlier_text_stay(marks):
     for _ in range(150):
         run = prose(50)
         one, two = (" ".join(prose(rng.randrange(80)) + run + prose(rng.randrange(80))) for _ in range(2))
-        first = {d for *_, d in units.names(one, units.units(one))}
-        kept = {units._halves(d)[0] for *_, d in units.names(two, units.units(two)) if d not in first}
-        text, n, gone = units.clean(two, kept)
+        first, cut = units.Cut([one]).digest[0], units.Cut([two])
+        kept = cut.digest[0][~np.isin(cut.digest[0], first)]
+        (text, gone), n = cut.clean(kept, np.zeros(len(kept), np.int64))[0], cut.n_units[0]
         left = re.findall(r"\S+", text)
         assert " ".join(w.strip() for w in run).split() not in [left[i : i + 50] for i in range(len(left) - 49)]
-        cut = sum(len(two[a:b].split()) for a, b in gone)
-        assert 0 < cut <= 50 and n == len(units.units(two))
+        removed = sum(len(two[a:b].split()) for a, b in gone)
+        assert 0 < removed <= 50 and n == len(units.units(two))
 
 
 def test_long_units_are_cut_alike_in_chunks_and_in_any_case(monkeypatch):
@@ -458,6 +543,12 @@ def test_long_units_are_cut_alike_in_chunks_and_in_any_case(monkeypatch):
     assert units.units(text) == whole and "".join(text[a:b] for a, b in whole) == text
 
 
+def test_new_columns_give_way(spark):
+    got = units.dedup_units(spark.createDataFrame([(1, "a b", 5, "x")], "doc_id long, text string, n_units int, removed string"))
+    assert got.columns == ["doc_id", "text", "n_units", "removed", "_gl_n_units", "n_chars_removed", "_gl_removed"]
+    assert got.first()[:5] == (1, "a b", 5, "x", 1)
+
+
 # 1. Importance resampling.
 
 
