@@ -8,8 +8,9 @@ exception.
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the text with A-Z in lower case.
 
 Defined results: a null or empty text has no words, no places and score 0; an expression reaches to the end of its line or to the
-next tag, and its longest start that parses counts; one without such a start gives the label of each licence id in it and no terms
-(up to where it breaks any name, behind that names of known families); repeated rows are each scanned; other columns are ignored.
+next tag, and its longest start that parses counts. If words follow that start, or if there is none, what stands there may be prose: then
+a name is a licence id if its family is known or it holds a digit, `-`, `.` or `+`, and a start with other names is none. An expression
+that is none gives the label of each licence id in it and no terms. Repeated rows are each scanned; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -167,16 +169,15 @@ def terms(node: Node) -> int | None:
     return asked[0]
 
 
-def _loose(tokens: list[str], stop: int) -> set[str]:
-    """The licence ids of tokens that are no expression; behind `stop`, where it breaks, only names of known families."""
-    found = set()
-    for n, token in enumerate(tokens):
-        if token in _BINDS or token in "()" or (n and tokens[n - 1] == "with"):
-            continue
-        family = _family(token)
-        if n < stop or (family and token[len(family) :][:1] in ("", "-")):
-            found.add(token)
-    return found
+def _formed(name: str) -> bool:
+    """Whether a name is a licence id even where prose may stand."""
+    family = _family(name)
+    return bool(family and name[len(family) :][:1] in ("", "-")) or not name.isalpha()
+
+
+def _loose(tokens: list[str]) -> set[str]:
+    """The licence ids of tokens that are no expression."""
+    return {x for n, x in enumerate(tokens) if x not in _BINDS and x not in "()" and not (n and tokens[n - 1] == "with") and _formed(x)}
 
 
 class Scanner:
@@ -192,16 +193,17 @@ class Scanner:
     def scan(self, text: str) -> tuple:
         words = text.encode("utf-8", "surrogatepass").translate(_WORD).split()
         line = " " + b" ".join(words).decode("latin-1") + " "
-        base, base_labels, labels, places = [], set(), set(), 0
+        ends, base_labels, labels, places = [], set(), set(), 0
         for end, (size, label, is_base) in self.phrases.iter(line):
             labels.add(label)
             places += 1
             if is_base:
-                base.append(line.count(" ", 0, end - size))
+                ends.append(end - size)
                 base_labels.add(label)
+        base = np.searchsorted(np.flatnonzero(np.frombuffer(line.encode("latin-1"), np.uint8) == 32), ends).tolist() if ends else []
         found, asked, tagged = [], [], 0
-        lower = text.lower() if "icense-" in text or "ICENSE-" in text else ""
-        if lower:
+        lower = text.lower()
+        if "icense-" in lower:
             sizes: dict[int, int] = {}
             for end, tag in self.tags.iter(lower):
                 sizes[end] = max(sizes.get(end, 0), len(tag))
@@ -209,12 +211,14 @@ class Scanner:
             nexts = [*(end + 1 - size for end, size in sizes.items()), len(lower)][1:]
             for end, until in zip(sizes, nexts, strict=True):
                 rest = _EXPRESSION.match(lower, end + 1, max(until, end + 1))[1]
-                tokens = _TOKEN.findall(_TOKENS.match(rest)[0])
-                *_, whole, stop = _read(tokens)
-                if not whole:
-                    labels |= _loose(tokens, stop)
+                read = _TOKENS.match(rest)[0]
+                tokens = _TOKEN.findall(read)
+                *_, whole, _ = _read(tokens)
+                tree = _tree(tokens[:whole]) if whole else None
+                prose = whole < len(tokens) or any(c.isalnum() for c in rest[len(read) :])
+                if tree is None or (prose and not all(map(_formed, licenses(tree)))):
+                    labels |= _loose(tokens)
                     continue
-                tree = _tree(tokens[:whole])
                 found.append(rest.strip())
                 labels |= licenses(tree)
                 asked.append(terms(tree))
