@@ -11,14 +11,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.operators.lineage import cut, shared_dir
+from gridloom.operators.lineage import cut, forget, shared_dir
 
-__all__ = ["bounded", "cut", "hashed_words", "mix", "only", "shared_dir", "shingles", "table", "text_of"]
+__all__ = ["bounded", "cut", "forget", "hashed_words", "mix", "only", "seeded_sample", "shared_dir", "shingles", "table", "text_of"]
 
 #: Word separators: space, and tab to carriage return.
 SEPARATORS = b" \t\n\x0b\x0c\r"
-#: Rows of at most two short columns that may be broadcast; larger sides are joined by a shuffle.
-BROADCAST_ROWS = 200_000
+#: Rows, and bytes of their strings, that may be broadcast; larger sides are joined by a shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 1 << 24
 #: Bytes of text that are hashed at once.
 CHUNK = 1 << 20
 
@@ -28,9 +28,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`small` marked for broadcast if a count shows at most `rows` rows; otherwise as it is, for a shuffle join."""
-    few = small.limit(rows + 1).count() <= rows
-    return F.broadcast(small) if few else small
+    """`small` marked for broadcast if it has at most `rows` rows and BROADCAST_BYTES bytes of strings; otherwise as it is, for a shuffle join."""
+    held = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in small.dtypes if t in ("string", "binary")]
+    n, size = small.agg(F.count("*"), F.coalesce(F.sum(sum(held, F.lit(0)).cast("long")), F.lit(0))).first()
+    return F.broadcast(small) if n <= rows and size <= BROADCAST_BYTES else small
+
+
+def seeded_sample(df: DataFrame, rows: int, seed: int, *key: str) -> DataFrame:
+    """At most `rows` rows of `df`: those with the least seeded hashes of `key`.
+
+    A threshold leaves about as many rows, give or take six standard deviations, before they are ordered, so that no task and no
+    driver gets `rows` rows of each partition."""
+    n = df.count()
+    order = F.xxhash64(F.lit(seed), *key)
+    part = (rows + 6 * rows**0.5 + 16) / max(n, 1)
+    near = df if part >= 1 else df.where(order < F.lit(int(part * 2**64) - 2**63))
+    return near.orderBy(order, *key).limit(rows)
 
 
 def only(df: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -> DataFrame:

@@ -16,7 +16,8 @@ that is still in several components is then examined in full: its members are co
 their texts, and each block gives only the links that join components. So no bucket is cut off and none gives all its pairs. Documents are grouped by the components of the verified links.
 
 Hot groups: copies collapse before banding; a bucket's centre is found by a sum before the shuffle; pairs join texts by
-id, where AQE splits a hot centre's rows; blocks bound what one task sees of a bucket.
+id, where AQE splits a hot centre's rows; what is known of the hottest buckets is broadcast to their members, and the others are
+joined by a shuffle, so no task gets a whole hot bucket; blocks bound what one task sees of a bucket.
 
 Defined results: a null text links with nothing; texts without words are copies of each other; a text of fewer words than a
 shingle has one shingle of all; a null id stands for itself, its class id is null and it isn't compared; rows that share an id are all kept if the
@@ -34,8 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from gridloom.llm.common import cut, hashed_words, mix, shingles
-from gridloom.operators.components import components_of_edges
+from gridloom.llm.common import BROADCAST_ROWS, cut, forget, hashed_words, mix, shingles
+from gridloom.operators.components import components_of_edges, extended
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -192,20 +193,37 @@ def verify(pairs: DataFrame, docs: DataFrame, text: str = "text", key: str = "do
     return both.mapInArrow(run, schema)
 
 
-def _unresolved(buckets: DataFrame, links: DataFrame) -> DataFrame:
-    """(bucket, id, weight, comp, n) of the buckets whose members the links leave in several components; n is a bucket's members."""
-    found = components_of_edges(links, "a", "b").withColumnRenamed("component", "_c")
-    member = buckets.join(found, F.col("id") == F.col("node"), "left").select("bucket", "id", "weight", F.coalesce("_c", "id").alias("comp"))
-    several = member.groupBy("bucket").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count("*").alias("n")).where("_lo < _hi").select(F.col("bucket").alias("_bucket"), "n")
-    return cut(member.join(several, F.col("bucket") == F.col("_bucket")).select("bucket", "id", "weight", "comp", "n"))
+def _meet(members: DataFrame, known: DataFrame) -> DataFrame:
+    """Members joined with a row for their bucket that has its number of members n.
+
+    Buckets with more than 1 / BROADCAST_ROWS of all members number at most BROADCAST_ROWS; these are broadcast, so no task gets a whole hot bucket."""
+    rows, total = known.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    hot = F.col("n") > F.lit(total / BROADCAST_ROWS if rows > BROADCAST_ROWS else 0)
+    named = known.withColumnRenamed("bucket", "_bucket")
+    same = F.col("bucket") == F.col("_bucket")
+    few = F.broadcast(named.where(hot))
+    met = members.join(few, same)
+    if rows > BROADCAST_ROWS:
+        met = met.union(members.join(few, same, "left_anti").join(named.where(~hot), same))
+    return met.drop("_bucket")
+
+
+def _unresolved(buckets: DataFrame, components: DataFrame) -> DataFrame:
+    """(bucket, id, weight, comp, n, words) of the buckets whose members are in several components; n and words are sums over a bucket's members."""
+    found = components.withColumnRenamed("component", "_c")
+    member = cut(buckets.join(found, F.col("id") == F.col("node"), "left").select("bucket", "id", "weight", F.coalesce("_c", "id").alias("comp")))
+    several = cut(member.groupBy("bucket").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count("*").alias("n"), F.sum("weight").alias("words")).where("_lo < _hi").select("bucket", "n", "words"))
+    out = cut(_meet(member, several))
+    forget(member, several)
+    return out
 
 
 def _second(unresolved: DataFrame, links: DataFrame) -> DataFrame:
     """Pairs of each bucket's member with most links and the members of other components."""
     degree = links.select(F.explode(F.array("a", "b")).alias("_id")).groupBy("_id").agg(F.count("*").alias("_links"))
     known = unresolved.join(degree, F.col("id") == F.col("_id"), "left").select("bucket", "id", "weight", "comp", F.coalesce("_links", F.lit(0)).alias("links"))
-    best = known.groupBy("bucket").agg(F.max(F.struct("links", (-F.col("id")).alias("i"), "weight", "comp")).alias("_b")).select(F.col("bucket").alias("_bucket"), (-F.col("_b.i")).alias("centre"), F.col("_b.weight").alias("_w"), F.col("_b.comp").alias("_comp"))
-    met = unresolved.join(best, F.col("bucket") == F.col("_bucket")).where("comp <> _comp").where(_alike(F.col("weight"), F.col("_w")))
+    best = cut(known.groupBy("bucket").agg(F.max(F.struct("links", (-F.col("id")).alias("i"), "weight", "comp")).alias("_b"), F.count("*").alias("n")).select("bucket", "n", (-F.col("_b.i")).alias("centre"), F.col("_b.weight").alias("_w"), F.col("_b.comp").alias("_comp")))
+    met = _meet(unresolved.drop("n"), best).where("comp <> _comp").where(_alike(F.col("weight"), F.col("_w")))
     return met.select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
 
 
@@ -216,9 +234,8 @@ def _alike(x: Column, y: Column) -> Column:
 
 def _blocks_of(unresolved: DataFrame, signed: DataFrame) -> DataFrame:
     """The members of unresolved buckets in blocks: a row for each meeting of its block with another or itself, in the task of both."""
-    total = unresolved.groupBy("bucket").agg(F.sum("weight").alias("_words")).withColumnRenamed("bucket", "_bucket")
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("_words") / WORDS)).cast("int")
-    member = unresolved.join(total, F.col("bucket") == F.col("_bucket")).select("bucket", "id", "weight", "comp", blocks.alias("blocks"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("words") / WORDS)).cast("int")
+    member = unresolved.select("bucket", "id", "weight", "comp", blocks.alias("blocks"))
     dealt = member.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("low", F.least("block", "_other")).withColumn("high", F.greatest("block", "_other"))
     sigs = signed.select(F.col("id").alias("_id"), "bands", "signature").dropDuplicates(["_id"])
@@ -324,15 +341,18 @@ def group_near(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     first = names.select(F.col("rep").alias("_rep"))
     reps = signed.join(first, F.col("id") == F.col("_rep"), "left_semi").dropDuplicates(["id"])
     members = reps.where("weight > 0").select("id", "weight", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min(F.col("id")).alias("centre"), F.count("*").alias("n")).where("n > 1").select(F.col("bucket").alias("_bucket"), "centre")
-    buckets = cut(members.join(shared, F.col("bucket") == F.col("_bucket")).select("bucket", "id", "weight", "centre"))
-    weights = buckets.where("id = centre").select("bucket", F.col("weight").alias("_w")).withColumnRenamed("bucket", "_bucket")
-    pairs = buckets.where("id <> centre").join(weights, F.col("bucket") == F.col("_bucket")).where(_alike(F.col("weight"), F.col("_w"))).select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    shared = cut(members.groupBy("bucket").agg(F.min(F.struct("id", "weight")).alias("_c"), F.count("*").alias("n")).where("n > 1").select("bucket", "n", F.col("_c.id").alias("centre"), F.col("_c.weight").alias("_w")))
+    buckets = cut(_meet(members, shared).select("bucket", "id", "weight", "centre", "_w"))
+    pairs = buckets.where("id <> centre").where(_alike(F.col("weight"), F.col("_w"))).select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     links = cut(verify(_estimated(pairs, signed), docs, text, key))
-    more = cut(verify(_estimated(_second(_unresolved(buckets, links), links), signed), docs, text, key))
-    links = links.union(more)
-    rest = cut(_residual(_unresolved(buckets, links), signed, docs, text, key, SIMILARITY))
-    found = components_of_edges(links.select("a", "b").union(rest), "a", "b")
+    found = components_of_edges(links, "a", "b")
+    first_left = _unresolved(buckets, found)
+    more = cut(verify(_estimated(_second(first_left, links), signed), docs, text, key))
+    found = extended(found, more, "a", "b")
+    left = _unresolved(first_left.select("bucket", "id", "weight"), found)
+    rest = cut(_residual(left, signed, docs, text, key, SIMILARITY))
+    found = cut(extended(found, rest, "a", "b"))
+    forget(shared, buckets, links, first_left, more, left, rest)
     grouped = names.join(found, F.col("rep") == F.col("node"), "left").select("h1", "h2", "rep", F.coalesce("component", "rep").alias("_g"))
     each = signed.select("id", F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).distinct()
     classes = each.join(grouped, (F.col("_h1") == F.col("h1")) & (F.col("_h2") == F.col("h2"))).groupBy("id").agg(F.min("rep").alias("_class"), F.min("_g").alias("_group"))
