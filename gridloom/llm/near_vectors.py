@@ -3,10 +3,11 @@
 Vectors are scaled to length 1 in double precision and cut into halves, each with a codebook of its own, fitted by k-means on a
 bounded, seeded sample. The pairs of nearest centroids form a product grid of cells, in which every vector is indexed.
 A multi-sequence traversal visits the cells by rising bound of their distance: the sum of the halves' bounds, each
-the distance to the plane between the nearest centroid and the cell's. It ends where the bound says that what is left
-holds less than 1 - RECALL of a vector's neighbours: two vectors with cosine c are sqrt(2 - 2c) apart, and a difference
-without a preferred direction has that over the root of the dimensions along any plane's normal, so the sum of two such squares is
-beyond z squared with a chance of exp(-z^2 / 2). With recall 1 the traversal goes on to the distance itself, where nothing can be left.
+the distance to the plane between the nearest centroid and the cell's. Two vectors with cosine c are sqrt(2 - 2c) apart; with RECALL 1, the
+default, the traversal ends where the bound reaches that, so no neighbour can be left. With less it ends where the bound says that what is
+left holds less than 1 - RECALL of a vector's neighbours, if differences have no preferred direction: then they
+have the distance over the root of the dimensions along any plane's normal, and the sum of two such squares is
+beyond z squared with a chance of exp(-z^2 / 2).
 
 What a visit finds is verified by the cosine. A pair counts for both sides if either one's traversal meets it.
 Rows of the grid are the unit of work; a row with many vectors is cut into blocks on both sides, and a task sees one
@@ -32,15 +33,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from gridloom.llm.common import bounded, cut
+from gridloom.llm.common import bounded, cut, seeded_sample
 from gridloom.operators.components import components_of_edges
 
 COSINE = 0.98
-RECALL = 0.99999
+RECALL = 1.0
 #: Vectors that the codebooks are fitted on, at most.
-SAMPLE = 8192
+SAMPLE = 16384
 #: Vectors for each cell of the grid, about, and centroids of a codebook, at most.
-PER_CELL, MOST = 128, 256
+PER_CELL, MOST = 128, 1024
 #: Vectors of one block of a grid row: indexed, asking.
 BLOCK, CHUNK = 2048, 4096
 
@@ -138,7 +139,7 @@ def usable(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:
 
 def fit(reps: DataFrame, cosine: float, recall: float, seed: int) -> dict[int, Grid]:
     n = reps.count()
-    sample = reps.orderBy(F.xxhash64(F.lit(seed), "id")).limit(SAMPLE).select("dim", "raw").collect()  # SAMPLE rows at most
+    sample = seeded_sample(reps.select("id", "dim", "raw"), SAMPLE, seed, "id").collect()  # SAMPLE rows at most
     k = int(min(MOST, max(8, round((n / PER_CELL) ** 0.5))))
     grids = {}
     for dim in {r["dim"] for r in sample}:
