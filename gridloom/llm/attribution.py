@@ -12,8 +12,8 @@ A token that covers part of a code point has that code point's span. Sections ar
 struct<start, end> over code points, sorted and apart; without it, they are the text's lines, each with its line break.
 Tokens that touch no section are counted in a row with section -1, so counts always sum to the document's.
 
-Defined results: a null or empty text has one section (0, 0, 0) without tokens; rows that share an id stay apart;
-sections that are null are none; other columns are ignored.
+Defined results: a null or empty text has one section (0, 0, 0) without tokens; rows that share an id stay apart; a section of no code points
+touches no token; sections that are null, or whose start or end is, are none, and the others are numbered without them; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -63,6 +63,9 @@ def attribute(t_start: np.ndarray, t_end: np.ndarray, s_start: np.ndarray, s_end
     counts, crossing = np.zeros(n), np.zeros(n, np.int64)
     if not len(t_start) or not n:
         return counts, crossing, float(len(t_start))
+    if not (filled := s_end > s_start).all():
+        counts[filled], crossing[filled], outside = attribute(t_start, t_end, s_start[filled], s_end[filled], rule)
+        return counts, crossing, outside
     low = np.searchsorted(s_end, t_start, "right")  # first section that ends after the token's start
     high = np.searchsorted(s_start, t_end, "left")  # first section that starts at or after its end
     touched = high - low
@@ -106,7 +109,8 @@ def count_tokens(df: DataFrame, text: str = "text", key: str = "doc_id", section
                 found: list[list[np.ndarray]] = [[], [], [], [], [], []]
                 given = part.column(2).to_pylist() if sections else [None] * part.num_rows
                 for i, (s, own) in enumerate(zip(part.column(1).to_pylist(), given, strict=True)):
-                    starts, ends = (np.array([x[k] for x in own or []], np.int64) for k in ("start", "end")) if sections else lines(s)
+                    own = [x for x in own or [] if x and x["start"] is not None and x["end"] is not None]
+                    starts, ends = (np.array([x[k] for x in own], np.int64) for k in ("start", "end")) if sections else lines(s)
                     ids = np.array(t.encoding.encode_ordinary(s), np.int64)
                     counts, crossing, outside = attribute(*token_spans(s, ids, lengths), starts, ends, rule)
                     number = np.arange(len(starts))

@@ -7,10 +7,11 @@ The rendered text is encoded once; token spans come from the ids' byte lengths.
 intersected with the sorted token spans by binary search, which gives the tokens under the loss mask and how much of
 the first and the last token belongs to the text.
 
-Conversations are dealt by id and sorted by turn; a task reads them as a stream and holds one at a time.
+Conversations are dealt by id and sorted by turn; a task reads them as a stream and holds one at a time. Rows without an id are dealt
+by what they say.
 
 Defined results: a null role or text is empty; a null turn comes first; turns with the same number are sorted by role,
-then text, and each kept; a null id is a conversation of its own; an empty table gives no rows; other columns are ignored.
+then text, and each kept; each row with a null id is a conversation of its own; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -134,7 +135,8 @@ def _read(formatted: str, masks, starts: np.ndarray, ends: np.ndarray) -> tuple[
 def _each(df: DataFrame, fields: list[T.StructField], row, ranks: str) -> DataFrame:
     empty = F.lit("")
     rows = df.select("conv_id", F.col("turn").alias("_turn"), F.coalesce(F.col("role"), empty).alias("_role"), F.coalesce(F.col("text"), empty).alias("_text"))
-    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "_turn", "_role", "_text")
+    apart = F.when(F.col("conv_id").isNull(), F.xxhash64("_turn", "_role", "_text"))
+    rows = rows.repartition(F.col("conv_id"), apart).sortWithinPartitions("conv_id", "_turn", "_role", "_text")
     schema = T.StructType([rows.schema[0], *fields])
     arrow = to_arrow_schema(schema)
 
@@ -156,7 +158,7 @@ def _each(df: DataFrame, fields: list[T.StructField], row, ranks: str) -> DataFr
 
         for batch in batches:
             for conv, role, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                if turns and conv != held:
+                if turns and (conv != held or conv is None):
                     end(held)
                     if size > 1 << 20 or len(made) >= 1000:
                         yield batch_of()
