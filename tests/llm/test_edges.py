@@ -60,6 +60,14 @@ def test_attribution_edges(odd):
     assert rows.where("doc_id = 4").count() == 2
 
 
+def test_attribution_of_null_and_empty_sections(spark):
+    schema = "doc_id long, text string, parts array<struct<start:long,end:long>>"
+    rows = [(1, "abcdefgh words", [(0, 3), None, (3, 3), (None, 4), (3, 14)]), (2, "words", None), (3, "words", []), (4, None, [(0, 0)])]
+    got = [tuple(r) for r in attribution.count_tokens(spark.createDataFrame(rows, schema), sections="parts").orderBy("doc_id", "section").collect()]
+    assert [r[:4] for r in got] == [(1, 0, 0, 3), (1, 1, 3, 3), (1, 2, 3, 14), (2, -1, 0, 5), (3, -1, 0, 5), (4, 0, 0, 0)]
+    assert got[1][4:] == (0, 0) and got[3][4] > 0
+
+
 def test_near_text_edges(odd):
     got = {(r["doc_id"], r["class_id"], r["group_id"], r["kept"]) for r in near_text.group_near(odd).collect()}
     assert (5, 4, 4, False) in got and (4, 4, 4, True) in got
@@ -79,7 +87,8 @@ def test_chat_edges(spark):
     got = {r["conv_id"]: r for r in chat.digests(spark.createDataFrame(rows, schema)).collect()}
     assert got[1]["n_turns"] == 3 and got[1]["loss_chars"] == 0
     assert got[2]["loss_chars"] == len(LONG) + len("\\<|im_end|>\\")
-    assert got[None]["n_turns"] == 2
+    alone = chat.digests(spark.createDataFrame(rows, schema)).where("conv_id is null").collect()
+    assert sorted((r["n_turns"], r["loss_chars"]) for r in alone) == [(1, 0), (1, 1)]
     assert chat.digests(spark.createDataFrame([], schema)).count() == 0
 
 

@@ -5,16 +5,19 @@ import hashlib
 import itertools
 import random
 import re
+import struct
+import time
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from gridloom.llm import attribution, chat, importance, licenses, mixture, multiset, near_text, near_vectors, registry, units
+from gridloom.llm import attribution, bpe, chat, importance, licenses, mixture, multiset, near_text, near_vectors, registry, units
 from gridloom.llm.bpe import tokenizer
 from gridloom.llm.common import hashed_words, shingles
 
@@ -68,6 +71,16 @@ def test_bpe_inside_one_match(text, leaf):
     assert TOK.encode_match(text.encode(), leaf) == TOK.encoding._encode_single_piece(text.encode())
 
 
+def test_bpe_digests_are_the_library_s(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").union(spark.createDataFrame([(-1, None), (-2, "")], "doc_id long, text string"))
+    got = {r["doc_id"]: r for r in bpe.digests(docs).collect()}
+    for r in docs.collect():
+        ids = TOK.encoding.encode_ordinary(r["text"] or "")
+        d = got[r["doc_id"]]
+        assert (d["n_tokens"], d["ids_sha256"]) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+        assert d["decoded_sha256"] == hashlib.sha256((r["text"] or "").encode()).hexdigest()
+
+
 # 2. Attribution.
 
 
@@ -182,12 +195,61 @@ def test_license_expressions_of_any_length():
     assert scan(f"{tag}MIT\n{tag}ISC {tag}BSD-3-Clause")[5] == "bsd-3-clause,isc,mit"
 
 
-@pytest.mark.parametrize(("text", "labels"), [("(MIT OR Apache-2.0", "apache-2.0,mit"), ("AND MIT", "mit"), ("(GPL-2.0 WITH x AND own-1", "gpl-2.0,own-1"), ("(see the file", "see"), ("((MIT) ISC and mitigate", "isc,mit"), ("", "")])
+@pytest.mark.parametrize(("text", "labels"), [("(MIT OR Apache-2.0", "apache-2.0,mit"), ("AND MIT", "mit"), ("(GPL-2.0 WITH x AND own-1", "gpl-2.0,own-1"), ("(see the file", ""), ("see the file", ""), ("see mit", "mit"), ("((MIT) ISC and mitigate", "isc,mit"), ("", "")])
 def test_license_ids_of_what_does_not_parse(text, labels):
     got = licenses.Scanner({}, {"none": "none"}, licenses.TAGS).scan("SPDX-License-Identifier: " + text)
     assert got[5] == labels and got[7] is None and got[8] is None
 
 
+def test_license_names_that_stand_alone():
+    scan = licenses.Scanner({}, {"none": "none"}, licenses.TAGS).scan
+    assert scan("license-identifier: WTFPL */")[5] == "wtfpl" and scan("SPDX-LiCeNsE-Identifier: mit")[5] == "mit"
+    assert scan("license-identifier: own-2 and so on")[5] == "own-2" and scan("license-identifier: own and so on")[5] == ""
+
+
+def test_many_licences_and_many_places():
+    scan = licenses.Scanner(licenses.BASE, licenses.MORE, licenses.TAGS).scan
+    for text in (" or ".join(f"x-{i}" for i in range(80)), "(" + " or ".join(f"x-{i}" for i in range(80)) + ")"):
+        assert scan(f"SPDX-License-Identifier: {text}")[5] == ",".join(sorted(f"x-{i}" for i in range(80)))
+    start = time.perf_counter()
+    got = scan("cc by " * 1_000_000)
+    assert got[:4] == (2_000_000, 1_000_000, 0, 1_999_998) and time.perf_counter() - start < 20
+
+
+def test_license_scan_against_a_loop():
+    """Labels, score and terms word by word and line by line, for expressions without brackets or with."""
+    rng = random.Random(11)
+    known = {"mit": 1, "isc": 1, "gpl-3.0": 3, "agpl-3.0": 4, "cc0-1.0": 0, "own-1": None}
+    phrases = {**licenses.MORE, **licenses.BASE}
+
+    def term(expression):
+        # An expression without brackets: `or` of `and`s.
+        sides = [[known[x.split(" with ")[0]] if " with " not in x else known[x.split(" with ")[0]] and max(known[x.split(" with ")[0]] - 1, 1) for x in side.split(" and ")] for side in expression.split(" or ")]
+        asked = [None if None in side else max(side) for side in sides]
+        return min((x for x in asked if x is not None), default=None)
+
+    for _ in range(400):
+        lines, labels, asked, tags = [], set(), [], 0
+        for _ in range(rng.randrange(5)):
+            if rng.random() < 0.5:
+                parts = [rng.choice(list(known)) + (" with x-exception" if rng.random() < 0.2 else "") for _ in range(rng.randrange(1, 5))]
+                expression = parts[0] + "".join(rng.choice([" and ", " or "]) + p for p in parts[1:])
+                lines.append(f"// SPDX-License-Identifier: {expression.upper()}")
+                labels |= {p.split(" with ")[0] for p in parts}
+                asked.append(term(expression))
+                tags += 1
+            else:
+                lines.append(" ".join(rng.choice([*phrases, "prose", "words"]) for _ in range(rng.randrange(4))))
+        text = "\n".join(lines)
+        own = re.findall(r"[0-9a-z]+", text.lower())
+        places = [label for p, label in phrases.items() for i in range(len(own)) if own[i : i + len(p.split())] == p.split()]
+        got = licenses.Scanner(licenses.BASE, licenses.MORE, licenses.TAGS).scan(text)
+        asked = [x for x in asked if x is not None]
+        assert got[5] == ",".join(sorted(labels | set(places)))
+        assert got[6] == pytest.approx(1 - 0.2 ** min(len(places), 8) * 0.05 ** min(tags, 8))
+        assert got[8] == (licenses.NAMES[max(asked)] if asked else None)
+
+
 def test_longest_start_against_all_starts():
     rng = random.Random(7)
 
@@ -226,11 +288,64 @@ def test_edits_and_neighbours(spark):
 def test_next_document_by_ranges(spark, parts):
     ids = [5, 5, 9, 1, 100, 7, 3, 3, 3, None, 50]
     df = spark.createDataFrame([(i, f"{i}-{k}") for k, i in enumerate(ids)], "k long, v string").repartition(3)
-    order = sorted(((i, f"{i}-{k}") for k, i in enumerate(ids)), key=lambda r: (-(r[0] if r[0] is not None else -(2**63)), r[1]))
+    order = sorted(((i, f"{i}-{k}") for k, i in enumerate(ids)), key=lambda r: (-(r[0] if r[0] is not None else -(2**63)), -signed(xxhash.xxh64_intdigest(r[1].encode(), 42)), r[1]))
     want = {a[1]: b[1] for a, b in zip(order, [*order[1:], order[0]], strict=True)}
     assert {r["v"]: r["_next"] for r in multiset.with_next(df, "k", F.col("v"), "v", parts).collect()} == want
 
 
+def test_hot_ids_are_cut_into_ranges(spark):
+    ids = [None] * 300 + [7] * 200 + list(range(20))
+    df = spark.createDataFrame([(i, f"{k}") for k, i in enumerate(ids)], "k long, v string")
+    with_next = multiset.with_next(df, "k", F.col("v"), "v", 16)
+    assert max(r["count"] for r in with_next.groupBy(F.spark_partition_id()).count().collect()) < 400
+    order = sorted(((i, f"{k}") for k, i in enumerate(ids)), key=lambda r: (-(r[0] if r[0] is not None else -(2**63)), -signed(xxhash.xxh64_intdigest(r[1].encode(), 42)), r[1]))
+    assert {r["v"]: r["_next"] for r in with_next.collect()} == {a[1]: b[1] for a, b in zip(order, [*order[1:], order[0]], strict=True)}
+
+
+def signed(x):
+    return x - 2**64 if x >> 63 else x
+
+
+def fingerprint_by_loop(text):
+    """The sums of a text's units, from the definition of xxHash64 with a seed hashed from the number of a pair of lanes."""
+    dense, sparse = [0] * 8, collections.Counter()
+    for u in re.split(r"\n+|(?<=[.!?])\s+", text, flags=re.ASCII):
+        if u:
+            h = lambda j: xxhash.xxh64_intdigest(u.encode(), xxhash.xxh64_intdigest(struct.pack("<i", j), 42))  # noqa: B023, E731
+            for j in range(8):
+                dense[j] = (dense[j] + (h(j // 2) >> 32 * (j % 2))) % 2**32
+            e = h(-1)
+            zeros = next((k for k in range(31) if e >> k & 1), 31)
+            sparse[zeros * 32 + (e >> 32) % 32] += e >> 48
+    lanes = {k: v % 2**16 for k, v in sparse.items() if v % 2**16}
+    return "".join(f"{x:08x}" for x in dense) + "." + "".join(f"{k << 16 | v:07x}" for k, v in sorted(lanes.items())), lanes
+
+
+def likeness_by_loop(a, b):
+    (one, x), (two, y) = a, b
+    if one.split(".")[0] == two.split(".")[0]:
+        return 1.0
+    least = 0
+    if len(x) + len(y) > 20:
+        for s in range(31):
+            if any(sum(k // 32 == s for k in z) > 20 for z in (x, y)):
+                least = s + 1
+    x, y = ({k: v for k, v in z.items() if k // 32 >= least} for z in (x, y))
+    return sum(y.get(k) == v for k, v in x.items()) / len({*x, *y}) if x or y else 0.0
+
+
+def test_fingerprints_against_a_loop(spark):
+    got = {r["doc_id"]: r for r in registry.op5_multiset_hash(spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy(F.desc("doc_id")).collect()
+    prints = [fingerprint_by_loop(d["text"]) for d in docs]
+    for k, (d, nxt) in enumerate(zip(docs, [*docs[1:], docs[0]], strict=True)):
+        third = len(d["text"]) // 3
+        edited = fingerprint_by_loop(d["text"][: len(d["text"]) - third] + nxt["text"][:third])
+        r = got[d["doc_id"]]
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (prints[k][0], edited[0])
+        assert r["near_edited"] == pytest.approx(likeness_by_loop(prints[k], edited)) and r["near_next"] == pytest.approx(likeness_by_loop(prints[k], prints[(k + 1) % len(docs)]))
+
+
 def test_fingerprint_adds_and_takes_away(spark):
     a, b = ["one two.", "three.", "four five six."], ["three.", "seven."]
     rows = [(1, "\n".join(a)), (2, "\n".join(b)), (3, "\n".join(b + a)), (4, "\n".join(a[::-1]))]
@@ -305,6 +420,49 @@ def test_near_texts_against_all_pairs(spark):
     assert got == {i: top(i) for i in range(len(texts))}
 
 
+def pairs_by_loop(texts):
+    """The least index that each text reaches by links, from all pairs."""
+    bags = near_text._bags(pa.array(texts))
+    group = list(range(len(texts)))
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if bags[i][1].sum() and bags[j][1].sum() and near_text.overlap(bags[i], bags[j]) >= 0.8:
+                a, b = sorted((top(i), top(j)))
+                group[b] = a
+    return {i: top(i) for i in range(len(texts))}
+
+
+@pytest.mark.parametrize(("block", "size", "rows"), [(4, 200, 200_000), (2, 10**6, 3), (1024, 400_000, 1)])
+def test_near_texts_in_small_blocks(spark, monkeypatch, block, size, rows):
+    monkeypatch.setattr(near_text, "BLOCK", block)
+    monkeypatch.setattr(near_text, "WORDS", size)
+    monkeypatch.setattr(near_text, "BROADCAST_ROWS", rows)
+    rng = random.Random(block)
+    base = words(150, 31, 10**6)
+    texts = []
+    for _ in range(40):
+        # Texts of one bucket, in chains and apart, all within the reach of a band.
+        a, n = rng.randrange(10), rng.randrange(0, 40)
+        texts.append(" ".join(base[a : a + 110] + words(n, rng.randrange(6), 10**6)))
+    got = {r["doc_id"]: r["group_id"] for r in near_text.group_near(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == pairs_by_loop(texts)
+
+
+def test_near_texts_of_book_length(spark):
+    n = 220_000
+    base = [f"w{i * 7919 % 1000003}" for i in range(n)]
+    texts = {i: " ".join(base[: n - k] + [f"e{i}x{j}" for j in range(k)]) for i, k in ((7, 0), (11, 29_500), (17, 29_600), (21, 29_700), (30, 9_000))}
+    got = {r["doc_id"]: r["group_id"] for r in near_text.group_near(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    want = pairs_by_loop(list(texts.values()))
+    assert got == {i: list(texts)[want[k]] for k, i in enumerate(texts)}
+
+
 def test_shingles_of_short_texts():
     flat = [(a, b, *shingles(w, o, b - a, 5)) for a, b, w, o in hashed_words(pa.array(["", "a b", "a b c d e", "a b c d e f"]))]
     assert [np.bincount(r, minlength=4).tolist() for *_, r in flat] == [[0, 1, 1, 2]]
@@ -316,7 +474,7 @@ def test_near_texts_in_empty_blocks(spark, monkeypatch):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     signed = near_text.sign(docs).cache()
     members = signed.select(F.explode("bands").alias("bucket"), "id", "weight", F.col("id").alias("comp"))
-    rows = members.join(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket").select("bucket", "id", "weight", "comp", "n").cache()
+    rows = members.join(members.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("weight").alias("words")).where("n > 1"), "bucket").select("bucket", "id", "weight", "comp", "n", "words").cache()
 
     def groups(size):
         monkeypatch.setattr(near_text, "WORDS", size)
@@ -355,6 +513,16 @@ def test_vectors_against_all_pairs(spark, recall, least):
         assert [got[i]["component_id"] for i in range(len(near))] == group.tolist()
 
 
+@pytest.mark.parametrize("rank", [2, 3, 6])
+def test_no_cell_in_reach_is_left_out(rank):
+    rng = np.random.default_rng(rank)
+    x = near_vectors.unit([v.tobytes() for v in rng.normal(size=(2000, rank)) @ rng.normal(size=(rank, 768))])
+    grid = near_vectors.Grid(x, 768, 64, near_vectors.radius(768, 0.98, near_vectors.RECALL), 5)
+    (i, one), (j, two) = grid.bounds(x)
+    a, b = np.nonzero(x @ x.T >= 0.98)
+    assert (one[a, i[b]] + two[a, j[b]] <= grid.radius**2).all() and len(a) > len(x)
+
+
 # 6. Mixing.
 
 
@@ -369,6 +537,25 @@ def test_mix_fits_targets(spark):
     assert abs(taken - sum(r["g"] for r in got)) <= len(got)
 
 
+@pytest.mark.parametrize("few", [4096, 2])
+def test_hot_sources_and_repeated_ids(spark, monkeypatch, few):
+    monkeypatch.setattr(mixture, "FEW", few)
+    monkeypatch.setattr(mixture, "DIGITS", 3 if few > 2 else 13)
+    rng = random.Random(few)
+    rows = [(rng.choice([None, 4, 4, i]), " ".join(words(rng.randrange(30), i)), rng.choice(["hot", "hot", "hot", "a", None])) for i in range(300)]
+    rows += [(5, "the same row again", "again")] * 50 + [(6, "", "none")]
+    got = mixture.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    target, taken, size = {}, collections.Counter(), collections.Counter()
+    for r in got:
+        s = r["row"]["source"]
+        target[s] = r["target"]
+        taken[s] += r["taken"]
+        size[s] += r["size"]
+        assert 0 <= r["taken"] <= 2 * r["size"] and r["size"] == len((r["row"]["text"] or "").split())
+    assert len(got) == len(rows) and all(abs(taken[s] - target[s]) <= (50 if s == "again" else 0.5) for s in target)
+    assert sum(target.values()) == pytest.approx(1.5 * sum(size.values())) and target["none"] == 0
+
+
 def test_levels_agree_with_resharing(spark):
     rng = random.Random(9)
     for _ in range(5):
@@ -563,6 +750,51 @@ def test_importance_keeps_good_and_drops_junk(spark):
     assert share[1, 0] > 0.97 and share[0, 0] < 0.15
 
 
+def test_importance_against_a_loop(spark):
+    """Models, weights, keys and the chosen documents from n-grams counted one by one."""
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    docs += [(docs[0][0], docs[0][1]), (10**6, None), (10**6 + 1, "")]
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    chosen = importance.Chosen(frame, labels)
+    got = collections.Counter((r["doc_id"], r["n_grams"]) for r in chosen.sample().collect())
+    buckets = 1 << max(16, int(16 * sum(len((t or "").encode()) for _, t in docs) ** 0.5).bit_length())
+    assert len(chosen.model.value) == buckets
+    hashed = {}
+
+    def grams(text):
+        own = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        for w in own:
+            if w not in hashed:
+                hashed[w] = int(next(h for *_, h, _ in hashed_words(pa.array([w])))[0])
+        h = [hashed[w] for w in own]
+        two = [int(importance.mix(np.array([(a * int(importance._PAIR[0]) + b * int(importance._PAIR[1])) % 2**64], np.uint64))[0]) for a, b in itertools.pairwise(h)]
+        return [x >> 64 - buckets.bit_length() + 1 for x in h + two], sum(h)
+
+    good = collections.defaultdict(lambda: True)
+    for r in labels.collect():
+        if r["doc_id"] is not None and r["quality"] is not None:
+            good[r["doc_id"]] &= r["quality"] == 1 and not r["toxic"]
+    held = {i: signed(xxhash.xxh64_intdigest(struct.pack("<q", i), xxhash.xxh64_intdigest(struct.pack("<i", importance.SEED + 1), 42))) % 4 == 0 for i in good}
+    raw, target, own = collections.Counter(), collections.Counter(), [grams(t) for _, t in docs]
+    for (i, _), (g, _) in zip(docs, own, strict=True):
+        raw.update(g)
+        if i in good and good[i] and not held[i]:
+            target.update(g)
+    share = target.total() / raw.total()
+    ratio = {k: np.log((target[k] + 5) / (n * share + 5)) for k, n in raw.items()}
+    weight = [sum(ratio[x] for x in g) for g, _ in own]
+    noise = [int(importance.mix(importance.mix(np.array([i + importance.SEED], np.uint64)) + np.uint64(said % 2**64))[0]) for (i, _), (_, said) in zip(docs, own, strict=True)]
+    key = [w - np.log(-np.log(((d >> 11) + 0.5) * 2.0**-53)) for w, d in zip(weight, noise, strict=True)]
+    judged = sorted((w for (i, _), w in zip(docs, weight, strict=True) if i in good and good[i] and held[i]), reverse=True)
+    least = judged[int(np.ceil(importance.KEEP * len(judged))) - 1]
+    # Weights are summed in single precision here and there, so the least one and the last key are allowed a little.
+    k = sum(w >= least - 1e-3 for w in weight)
+    assert chosen.k == k and chosen.least == pytest.approx(least, rel=1e-4, abs=1e-3)
+    last = sorted(key, reverse=True)[k - 1]
+    assert got == collections.Counter((i, len(g)) for (i, _), (g, _), x in zip(docs, own, key, strict=True) if x >= last - 1e-3)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_kth_largest(spark, seed):
     rng = random.Random(seed)
