@@ -72,17 +72,18 @@ def append_groups(edges: DataFrame, groups: DataFrame, pair: list[str] = PAIR) -
 def append_group_components(edges: DataFrame, groups: DataFrame, most: float | None = None) -> DataFrame:
     """Grouped edges with group_cc, the component within the group; edges longer than `most` link nothing and have -1.
 
-    Nodes are (group, label) pairs, numbered by a 64-bit hash for the graph operator; components are named by the group's least label in them."""
+    Nodes are (group, label) pairs, numbered in this order for the graph operator, so a component's least node has the group's least label in it."""
     from gridloom.operators.components import components_of_edges
+    from gridloom.operators.lineage import cut
+    from gridloom.operators.numbering import number_rows
 
     near = F.lit(True) if most is None else F.col("distance") <= most
-    node = lambda c: F.xxhash64("group", c)
-    links = edges.where(near).select(node("label_a").alias("src"), node("label_b").alias("dst"))
+    members = cut(number_rows(groups.select("group", "label").distinct(), ["group", "label"], "_n"))
+    end = lambda c, name: members.select(F.col("group"), F.col("label").alias(c), F.col("_n").alias(name))
+    links = edges.where(near).select("group", *PAIR).join(end("label_a", "src"), ["group", "label_a"]).join(end("label_b", "dst"), ["group", "label_b"]).select("src", "dst")
     found = components_of_edges(links)
-    members = groups.select("group", "label").distinct().withColumn("_n", node("label")).join(found, F.col("_n") == F.col("node"), "left")
-    members = members.withColumn("_c", F.coalesce("component", "_n"))
-    names = members.groupBy("group", "_c").agg(F.min("label").alias("group_cc"))
-    named = members.select(F.col("group").alias("_g"), F.col("label").alias("_l"), F.col("_c").alias("_cc")).join(names.select(F.col("group").alias("_g2"), "_c", "group_cc"), (F.col("_g") == F.col("_g2")) & (F.col("_cc") == F.col("_c"))).select("_g", "_l", "group_cc")
+    top = members.join(found, F.col("_n") == F.col("node"), "left").select(F.col("group").alias("_g"), F.col("label").alias("_l"), F.coalesce("component", "_n").alias("_c"))
+    named = top.join(members.select(F.col("_n").alias("_c"), F.col("label").alias("group_cc")), "_c").select("_g", "_l", "group_cc")
     out = edges.join(named, (F.col("group") == F.col("_g")) & (F.col("label_a") == F.col("_l"))).drop("_g", "_l")
     return out.withColumn("group_cc", F.when(near, F.col("group_cc")).otherwise(F.lit(-1)))
 
@@ -96,6 +97,15 @@ def intra_group(edges: DataFrame, groups: DataFrame) -> DataFrame:
     return best.select(*PAIR, *(side(True, a).alias(f"{a}a") for a in AXES), *(side(False, a).alias(f"{a}b") for a in AXES), F.lit(1.0).alias("distance"), "edge_area")
 
 
+def near_pairs(voxels: DataFrame, radius: int, groups: DataFrame | None = None) -> DataFrame:
+    """Pairs of labels, of one group if there are groups, that may have voxels within the radius: those in the same or touching cells of its width."""
+    at = voxels.where("label <> 0").select("label", *(floor_div(a, radius).alias(f"c{a}") for a in AXES)).distinct()
+    around = F.explode(F.array(*[F.struct((F.col("cz") + i).alias("cz"), (F.col("cy") + j).alias("cy"), (F.col("cx") + k).alias("cx")) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]))
+    a = at.select(F.col("label").alias("label_a"), around.alias("_c")).select("label_a", "_c.*")
+    pairs = a.join(at.withColumnRenamed("label", "label_b"), ["cz", "cy", "cx"]).where("label_a < label_b").select(*PAIR).distinct()
+    return pairs if groups is None else append_groups(pairs, groups).select(*PAIR).distinct()
+
+
 def closest_approaches(voxels: DataFrame, pairs: DataFrame, radius: int) -> DataFrame:
     """For each pair of labels its two nearest voxels, if they are within the radius: exact, by cells of the radius's width.
 

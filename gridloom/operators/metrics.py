@@ -149,9 +149,10 @@ def body_matching(overlaps: DataFrame, least: int, top: int = 3) -> DataFrame:
     o = with_totals(overlaps).where((F.col("gt_total") >= least) & (F.col("seg_total") >= least))
     rank = lambda k, other: F.row_number().over(Window.partitionBy(k).orderBy(F.desc("overlap"), other))
     near = o.withColumn("_g", rank("gt", "seg")).withColumn("_s", rank("seg", "gt")).where((F.col("_g") <= top) | (F.col("_s") <= top)).select("gt", "seg", "overlap")
-    links = near.select(F.xxhash64(F.lit("gt"), "gt").alias("src"), F.xxhash64(F.lit("seg"), "seg").alias("dst"))
+    # gt bodies are even nodes and seg bodies odd ones; ids are below 2**62.
+    links = near.select((F.col("gt").cast("long") * 2).alias("src"), (F.col("seg").cast("long") * 2 + 1).alias("dst"))
     found = components_of_edges(links)
-    keyed = near.join(found, F.xxhash64(F.lit("gt"), "gt") == F.col("node")).select("component", "gt", "seg", "overlap")
+    keyed = near.join(found, F.col("gt").cast("long") * 2 == F.col("node")).select("component", "gt", "seg", "overlap")
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         table = pdf.pivot_table(index="gt", columns="seg", values="overlap", fill_value=0, aggfunc="sum")

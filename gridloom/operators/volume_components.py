@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.arithmetic import AXES
 from gridloom.operators.components import components_of_edges
-from gridloom.operators.grid import Grid, brick_index
+from gridloom.operators.grid import Grid
 from gridloom.operators.numbering import number_rows
 
 _KEY = ["bz", "by", "bx"]
@@ -63,22 +63,16 @@ def parts_in_bricks(voxels: DataFrame, grid: Grid, connectivity: int = 1) -> Dat
     return rows.groupBy(*_KEY).applyInPandas(_inside(connectivity), "z int, y int, x int, label long, bz long, by long, bx long, part long")
 
 
-def _node(grid: Grid):
-    """One number for a part of a brick: bricks in scan order of a fixed wide frame."""
-    wide = 1 << 18
-    box = (tuple(-wide * n for n in grid.shape), tuple(wide * n for n in grid.shape))
-    return brick_index(grid, box)
-
-
 def label_components(voxels: DataFrame, grid: Grid | None = None, connectivity: int = 1) -> DataFrame:
     """(z, y, x, label, component): component is the least part of what connects voxels of one label; its numbers only tell components apart."""
     from gridloom.operators.lineage import cut
 
     grid = grid or Grid((64, 64, 64))
     volume = grid.shape[0] * grid.shape[1] * grid.shape[2]
-    parts = parts_in_bricks(voxels, grid, connectivity)
-    # A brick's parts are fewer than its voxels, so this numbers parts of all bricks apart; a hash keeps it in 64 bits for any frame.
-    parts = cut(parts.withColumn("part", F.xxhash64(*_KEY, "part")) if volume * (1 << 57) > 1 << 63 else parts.withColumn("part", _node(grid) * volume + F.col("part")))
+    # Bricks are numbered, and a brick's parts are fewer than its voxels, so this tells the parts of all bricks apart.
+    bricks = cut(number_rows(voxels.where("label <> 0").select(*grid.cells()).distinct(), _KEY, "_brick"))
+    parts = parts_in_bricks(voxels, grid, connectivity).join(bricks, _KEY)
+    parts = cut(parts.withColumn("part", F.col("_brick") * volume + F.col("part")).drop("_brick"))
     edge = F.lit(False)
     for k, a in enumerate(AXES):
         at = F.col(a) - grid.corner(k)

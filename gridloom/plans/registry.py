@@ -842,3 +842,6 @@ def channels(spark, d):
 def measure_extremes(spark, d):
     o = t(spark, d, "documents").groupBy(F.col("source").alias("subvolume"), F.col("lang").alias("gt"), floor_div("n_chars", 500).alias("seg")).agg(F.count("*").alias("overlap"))
     return evaluate(o, ["count"])["count"]["extremes"]
+
+
+from gridloom.plans import job_registry  # noqa: E402, F401  its queries are registered with these

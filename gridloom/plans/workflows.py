@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from gridloom.functions.arithmetic import AXES
 from gridloom.operators import aggregates, diffs, edges, filters, geometry, labelmap, metrics, ranking, resample, volume_components
 from gridloom.operators.grid import Grid, cells_of_labels
+from gridloom.operators.lineage import cut
+from gridloom.operators.numbering import number_rows
 from gridloom.sources.volumes import open_volume
 
 JOBS: dict[str, type[Job]] = {}
@@ -106,7 +108,7 @@ class FindAdjacencies(Job):
         direct = edges.intra_group(touching, every)
         out = {"edges": direct}
         if self["find-closest-within"]:
-            near = every.alias("a").join(every.alias("b"), (F.col("a.group") == F.col("b.group")) & (F.col("a.label") < F.col("b.label"))).select(F.col("a.label").alias("label_a"), F.col("b.label").alias("label_b")).distinct()
+            near = edges.near_pairs(voxels, self["find-closest-within"], None if groups is None else every)
             apart = near.join(direct.select(*edges.PAIR), edges.PAIR, "left_anti")
             out["nearby"] = edges.closest_approaches(voxels, apart, self["find-closest-within"])
         grouped = edges.append_groups(direct, every)
@@ -268,8 +270,9 @@ class GridMeshes(Job):
     def plan(self):
         grid = _grid(self["block-shape"])
         voxels = self.volume("input").where("label <> 0")
-        names = voxels.select("label", *grid.cells()).distinct().withColumn("part", F.xxhash64("label", "bz", "by", "bx"))
-        keyed = voxels.select(*AXES, F.xxhash64("label", *grid.cells()).alias("label"))
+        keys = ["label", "bz", "by", "bx"]
+        names = cut(number_rows(voxels.select("label", *grid.cells()).distinct(), keys, "part", 1))
+        keyed = voxels.select(*AXES, "label", *grid.cells()).join(names, keys).select(*AXES, F.col("part").alias("label"))
         meshes = geometry.per_object(keyed, geometry.mesh_bytes).withColumnRenamed("label", "part")
         return {"meshes": names.join(meshes, "part").drop("part"), "stats": aggregates.label_histogram(voxels, grid.cells())}
 
