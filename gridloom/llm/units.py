@@ -17,8 +17,8 @@ Digests are grouped globally for the least document; within a document the first
 a document is the list of digests it keeps, keyed by document, so a line that a third of all documents hold needs no
 skewed join: only the grouping sees it, and that sums before the shuffle.
 
-Defined results: each row is a document. Rows rank by id, then by a hash of the text; a null id ranks after ids below 2**62, by another
-hash of the text; of rows with the same id and text the first one met keeps what they keep and the others keep nothing. A null text
+Defined results: each row is a document. Rows rank by id; a row whose id is null or stands in other rows too ranks after all others, by a hash of
+its id and text (ids are below 2**62); of rows with the same id and text the first one met keeps what they keep and the others keep nothing. A null text
 stays null and has no units; a text without words stays; a text whose units all go becomes empty, its row stays; an
 empty table gives no rows; other columns pass through, and where `docs` has a column named n_units, n_chars_removed or removed,
 the new one's name starts with _gl_.
@@ -31,12 +31,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from gridloom.llm.common import CHUNK, _powers, mix
+from gridloom.llm.common import CHUNK, _powers, bounded, cut, mix
 
 MIN_WORDS = 8
 #: Marks that end a clause where white space follows.
@@ -220,31 +220,34 @@ def _runs(texts: list[str | None]) -> Iterator[tuple[int, int, list[str]]]:
         at = end
 
 
-def _rank(text: str, key: str) -> list[Column]:
-    """A document's rank, and what tells rows of one id apart."""
-    return [F.coalesce(F.col(key).cast("long"), F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(text), 2)), F.hash(text)]
+def ranked(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """`docs` with _gl_rank: the id where it is the row's own, else a hash of id and text beyond all ids."""
+    own = F.col(key).cast("long")
+    repeated = cut(docs.where(F.col(key).isNotNull()).groupBy(own.alias("_gl_id")).agg(F.count("*").alias("_gl_n")).where("_gl_n > 1").select("_gl_id"))
+    late = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(key, text), 2)
+    met = docs.join(bounded(repeated), own == F.col("_gl_id"), "left")
+    return met.withColumn("_gl_rank", F.when(own.isNull() | F.col("_gl_id").isNotNull(), late).otherwise(own)).drop("_gl_id")
 
 
-def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """(_h1, _h2, _rank, _tie): each digest of a document once."""
-    rank, tie = _rank(text, key)
-    rows = docs.select(rank.alias("_rank"), tie.alias("_tie"), F.col(text).alias("_text"))
-    schema = T.StructType([T.StructField("_h1", T.LongType()), T.StructField("_h2", T.LongType()), T.StructField("_rank", T.LongType()), T.StructField("_tie", T.IntegerType())])
+def occurrences(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """(_h1, _h2, _rank): each digest once of each document, ranked by _gl_rank."""
+    rows = docs.select(F.col("_gl_rank").alias("_rank"), F.col(text).alias("_text"))
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("_h1", "_h2", "_rank")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rank, tie = (batch.column(k).to_numpy() for k in range(2))
-            for a, b, texts in _runs(batch.column(2).to_pylist()):
+            rank = batch.column(0).to_numpy()
+            for a, b, texts in _runs(batch.column(1).to_pylist()):
                 one, two, owner = Cut(texts, min_words).distinct()
-                yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(rank[a:b][owner]), pa.array(tie[a:b][owner])], names=["_h1", "_h2", "_rank", "_tie"])
+                yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(rank[a:b][owner])], names=["_h1", "_h2", "_rank"])
 
     return rows.mapInArrow(run, schema)
 
 
-def kept_digests(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """(_rank, _tie, _kept): for each document the digests whose earliest document it is."""
-    first = occurrences(docs, text, key, min_words).groupBy("_h1", "_h2").agg(F.min(F.struct("_rank", "_tie")).alias("_by"))
-    return first.groupBy("_by._rank", "_by._tie").agg(F.collect_list("_h1").alias("_kept"))
+def kept_digests(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """(_rank, _kept): for each document the digests whose earliest document it is."""
+    first = occurrences(docs, text, min_words).groupBy("_h1", "_h2").agg(F.min("_rank").alias("_rank"))
+    return first.groupBy("_rank").agg(F.collect_list("_h1").alias("_kept"))
 
 
 REMOVED = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
@@ -252,12 +255,12 @@ REMOVED = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.Stru
 
 def dedup_units(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
     """The rows of `docs` with the text cleaned, and n_units, n_chars_removed and removed: spans of the original text."""
-    kept = kept_digests(docs, text, key, min_words).select(F.col("_rank").alias("_gl_r"), F.col("_tie").alias("_gl_t"), F.col("_kept").alias("_gl_kept"))
-    rank, tie = _rank(text, key)
-    joined = docs.withColumns({"_gl_rank": rank, "_gl_tie": tie}).join(kept, (F.col("_gl_rank") == F.col("_gl_r")) & (F.col("_gl_tie") == F.col("_gl_t")), "left")
+    rows = ranked(docs, text, key)
+    kept = kept_digests(rows, text, min_words).select(F.col("_rank").alias("_gl_r"), F.col("_kept").alias("_gl_kept"))
+    joined = rows.join(kept, F.col("_gl_rank") == F.col("_gl_r"), "left")
     # The join has dealt and sorted the rows so; of equal ones only the first keeps digests.
-    place = F.row_number().over(Window.partitionBy("_gl_rank", "_gl_tie").orderBy(F.lit(0)))
-    joined = joined.select(*(docs[c] for c in docs.columns), F.when(place == 1, F.col("_gl_kept")).alias("_gl_kept"))
+    place = F.row_number().over(Window.partitionBy("_gl_rank").orderBy("_gl_rank"))
+    joined = joined.select(*(F.col(c) for c in docs.columns), F.when(place == 1, F.col("_gl_kept")).alias("_gl_kept"))
     taken = {"n_units", "n_chars_removed", "removed"} & set(docs.columns)
     own = [f"_gl_{n}" if n in taken else n for n in ("n_units", "n_chars_removed", "removed")]
     schema = T.StructType([*docs.schema, T.StructField(own[0], T.LongType()), T.StructField(own[1], T.LongType()), T.StructField(own[2], REMOVED)])
