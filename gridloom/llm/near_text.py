@@ -16,8 +16,9 @@ that is still in several components is then examined in full: its members are co
 their texts, and each block gives only the links that join components. So no bucket is cut off and none gives all its pairs. Documents are grouped by the components of the verified links.
 
 Hot groups: copies collapse before banding; a bucket's centre is found by a sum before the shuffle; pairs join texts by
-id, where AQE splits a hot centre's rows; what is known of the hottest buckets is broadcast to their members, and the others are
-joined by a shuffle, so no task gets a whole hot bucket; blocks bound what one task sees of a bucket.
+id, and a hot centre's pairs are dealt into parts of about SHARE, each with the centre's text; what is known of the hottest buckets and
+centres is broadcast to their members, and the others are joined by a shuffle, so no task gets a whole hot one; blocks bound what
+one task sees of a bucket.
 
 Defined results: a null text links with nothing; texts without words are copies of each other; a text of fewer words than a
 shingle has one shingle of all; a null id stands for itself, its class id is null and it isn't compared; rows that share an id are all kept if the
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from gridloom.llm.common import BROADCAST_ROWS, cut, forget, hashed_words, mix, shingles
+from gridloom.llm.common import cut, forget, hashed_words, mix, shingles
 from gridloom.operators.components import components_of_edges, extended
 
 SHINGLE = 5
@@ -46,6 +47,8 @@ M = BANDS * ROWS
 LIMIT = float(np.log(M)) + 3.0
 #: Members, and shingles about, in a block of a bucket that is examined in full.
 BLOCK, WORDS = 1024, 400_000
+#: Buckets or centres that count as hot, at most, and so are broadcast; pairs of one centre in a part, about.
+HOT, SHARE = 20_000, 256
 #: How far the signatures' estimate may be below the least similarity: over four standard deviations.
 SLACK = 4.2 * (SIMILARITY * (1 - SIMILARITY) / M) ** 0.5
 #: Elements of multisets handled at once.
@@ -177,9 +180,7 @@ def _bags(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
 
 def verify(pairs: DataFrame, docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """The pairs (a, b) of ids whose texts' multisets overlap enough, with their similarity."""
-    texts = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"))
-    one = pairs.join(texts, F.col("b") == F.col("_id")).select("a", "b", F.col("_text").alias("_b"))
-    both = one.join(texts, F.col("a") == F.col("_id")).select("a", "b", F.col("_text").alias("_a"), "_b")
+    both = _with_both(pairs, docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_held")))
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("similarity", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,21 +194,32 @@ def verify(pairs: DataFrame, docs: DataFrame, text: str = "text", key: str = "do
     return both.mapInArrow(run, schema)
 
 
-def _meet(members: DataFrame, known: DataFrame) -> DataFrame:
+def _meet(members: DataFrame, known: DataFrame, on: str = "bucket") -> DataFrame:
     """Members joined with a row for their bucket that has its number of members n.
 
-    Buckets with more than 1 / BROADCAST_ROWS of all members number at most BROADCAST_ROWS; these are broadcast, so no task gets a whole hot bucket."""
+    Buckets with more than 1 / HOT of all members number at most HOT; these are broadcast, so no task gets a whole hot bucket."""
     rows, total = known.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    hot = F.col("n") > F.lit(total / BROADCAST_ROWS if rows > BROADCAST_ROWS else 0)
-    named = known.withColumnRenamed("bucket", "_bucket")
-    same = F.col("bucket") == F.col("_bucket")
+    hot = F.col("n") > F.lit(total / HOT if rows > HOT else 0)
+    named = known.withColumnRenamed(on, "_bucket")
+    same = F.col(on) == F.col("_bucket")
     few = F.broadcast(named.where(hot))
     met = members.join(few, same)
-    if rows > BROADCAST_ROWS:
-        met = met.union(members.join(few, same, "left_anti").join(named.where(~hot), same))
+    if rows > HOT:
+        met = met.union(members.join(few.select("_bucket"), same, "left_anti").join(named.where(~hot), same))
     return met.drop("_bucket")
 
 
+def _with_both(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """(a, b, _a, _b) of pairs (a, b) that `cut` has written: what `held` (_id, _held) has of both."""
+    centres = cut(pairs.groupBy("a").agg(F.count("*").alias("n")))
+    parts = F.ceil(F.col("n") / SHARE).cast("int")
+    dealt = _meet(pairs, centres, "a").select("a", "b", F.pmod(F.xxhash64("b"), parts).cast("int").alias("_part"))
+    centres = centres.select(F.col("a").alias("_centre"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("_of"))
+    centres = centres.join(held, F.col("_centre") == F.col("_id")).select("_centre", "_of", F.col("_held").alias("_a"))
+    one = dealt.join(held, F.col("b") == F.col("_id")).select("a", "b", "_part", F.col("_held").alias("_b"))
+    return one.join(centres, (F.col("a") == F.col("_centre")) & (F.col("_part") == F.col("_of"))).select("a", "b", "_a", "_b")
+
+
 def _unresolved(buckets: DataFrame, components: DataFrame) -> DataFrame:
     """(bucket, id, weight, comp, n, words) of the buckets whose members are in several components; n and words are sums over a bucket's members."""
     found = components.withColumnRenamed("component", "_c")
@@ -344,10 +356,10 @@ def group_near(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     shared = cut(members.groupBy("bucket").agg(F.min(F.struct("id", "weight")).alias("_c"), F.count("*").alias("n")).where("n > 1").select("bucket", "n", F.col("_c.id").alias("centre"), F.col("_c.weight").alias("_w")))
     buckets = cut(_meet(members, shared).select("bucket", "id", "weight", "centre", "_w"))
     pairs = buckets.where("id <> centre").where(_alike(F.col("weight"), F.col("_w"))).select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    links = cut(verify(_estimated(pairs, signed), docs, text, key))
+    links = cut(verify(cut(_estimated(pairs, signed)), docs, text, key))
     found = components_of_edges(links, "a", "b")
     first_left = _unresolved(buckets, found)
-    more = cut(verify(_estimated(_second(first_left, links), signed), docs, text, key))
+    more = cut(verify(cut(_estimated(_second(first_left, links), signed)), docs, text, key))
     found = extended(found, more, "a", "b")
     left = _unresolved(first_left.select("bucket", "id", "weight"), found)
     rest = cut(_residual(left, signed, docs, text, key, SIMILARITY))
@@ -363,9 +375,7 @@ def group_near(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
 
 def _estimated(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """The pairs whose signatures don't rule out the similarity."""
-    sigs = signed.select(F.col("id").alias("_id"), "signature").dropDuplicates(["_id"])
-    one = pairs.join(sigs, F.col("b") == F.col("_id")).select("a", "b", F.col("signature").alias("_b"))
-    both = one.join(sigs, F.col("a") == F.col("_id")).select("a", "b", F.col("signature").alias("_a"), "_b")
+    both = _with_both(cut(pairs), signed.select(F.col("id").alias("_id"), F.col("signature").alias("_held")).dropDuplicates(["_id"]))
     schema = "a long, b long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

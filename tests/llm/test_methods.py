@@ -442,7 +442,8 @@ def pairs_by_loop(texts):
 def test_near_texts_in_small_blocks(spark, monkeypatch, block, size, rows):
     monkeypatch.setattr(near_text, "BLOCK", block)
     monkeypatch.setattr(near_text, "WORDS", size)
-    monkeypatch.setattr(near_text, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(near_text, "HOT", rows)
+    monkeypatch.setattr(near_text, "SHARE", 3 if rows < 10 else 256)
     rng = random.Random(block)
     base = words(150, 31, 10**6)
     texts = []
