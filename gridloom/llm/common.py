@@ -19,8 +19,8 @@ __all__ = ["bounded", "cut", "forget", "hashed_words", "mix", "only", "seeded_sa
 SEPARATORS = b" \t\n\x0b\x0c\r"
 #: Rows, and bytes of their strings, that may be broadcast; larger sides are joined by a shuffle.
 BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 1 << 24
-#: Bytes of text that are hashed at once.
-CHUNK = 1 << 20
+#: Bytes of text that are hashed at once; arrays over a run take some hundred times as much, in each worker.
+CHUNK = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -208,16 +209,14 @@ def units(text: str) -> list[tuple[int, int]]:
     return list(zip([0, *starts[1:]], [*starts[1:], len(text)], strict=True)) if starts else []
 
 
-def _runs(texts: list[str | None]) -> Iterator[tuple[int, int, list[str]]]:
-    """Rows in runs of about CHUNK characters; a null is empty."""
-    at = 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end] or "") <= CHUNK):
-            size += len(texts[end] or "")
-            end += 1
-        yield at, end, [s or "" for s in texts[at:end]]
-        at = end
+def _runs(column: pa.Array) -> Iterator[tuple[int, int, list[str | None]]]:
+    """Rows in runs of about CHUNK bytes, or of one long text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at, before = 0, 0
+    while at < len(ends):
+        end = max(at + 1, int(np.searchsorted(ends, before + CHUNK, "right")))
+        yield at, end, column.slice(at, end - at).to_pylist()
+        at, before = end, int(ends[end - 1])
 
 
 def ranked(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -237,8 +236,8 @@ def occurrences(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rank = batch.column(0).to_numpy()
-            for a, b, texts in _runs(batch.column(1).to_pylist()):
-                one, two, owner = Cut(texts, min_words).distinct()
+            for a, b, given in _runs(batch.column(1)):
+                one, two, owner = Cut([s or "" for s in given], min_words).distinct()
                 yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(rank[a:b][owner])], names=["_h1", "_h2", "_rank"])
 
     return rows.mapInArrow(run, schema)
@@ -269,15 +268,15 @@ def dedup_units(docs: DataFrame, text: str = "text", key: str = "doc_id", min_wo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            given = batch.column(at).to_pylist()
-            for a, b, texts in _runs(given):
+            for a, b, given in _runs(batch.column(at)):
                 part = batch.slice(a, b - a)
+                texts = [s or "" for s in given]
                 lists = part.column(part.num_columns - 1).fill_null([])
                 owner = np.repeat(np.arange(b - a), np.diff(lists.offsets.to_numpy()))
                 cut = Cut(texts, min_words)
                 made = cut.clean(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), owner)
                 columns = [*part.columns[:-1]]
-                columns[at] = pa.array([None if s is None else m[0] for s, m in zip(given[a:b], made, strict=True)], arrow.field(at).type)
+                columns[at] = pa.array([None if s is None else m[0] for s, m in zip(given, made, strict=True)], arrow.field(at).type)
                 spans = [[{"start": x, "end": y} for x, y in m[1]] for m in made]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(cut.n_units.astype(np.int64)), pa.array([sum(y - x for x, y in m[1]) for m in made], pa.int64()), pa.array(spans, arrow.field(len(arrow) - 1).type)], schema=arrow)
 
