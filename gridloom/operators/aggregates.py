@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.arithmetic import AXES, block_id
@@ -74,9 +74,13 @@ def body_stats(counts: DataFrame) -> DataFrame:
 
 
 def distribute_lists(counts: DataFrame, key: str, item: str, most: int) -> DataFrame:
-    """(key, chunk, items): each brick's labels in sorted lists of at most `most`; ranked in the shuffle's sort, so no list outgrows its bound."""
-    ranked = counts.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(item)) - 1)
-    return ranked.withColumn("chunk", F.call_function("div", F.col("_r"), F.lit(most)).cast("int")).groupBy(key, "chunk").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    """(key, chunk, items): each brick's labels in sorted lists of at most `most`; numbered by ranges, so a key with many items is in many tasks."""
+    from gridloom.operators.numbering import number_rows
+
+    ranked = number_rows(counts.select(key, item), [key, item], "_n")
+    first = ranked.groupBy(F.col(key).alias("_k")).agg(F.min("_n").alias("_first"))
+    ranked = ranked.join(first, F.col(key).eqNullSafe(F.col("_k")))
+    return ranked.withColumn("chunk", F.call_function("div", F.col("_n") - F.col("_first"), F.lit(most)).cast("int")).groupBy(key, "chunk").agg(F.array_sort(F.collect_list(item)).alias("items"))
 
 
 def segment_stats(voxels: DataFrame, block: int = 64) -> DataFrame:

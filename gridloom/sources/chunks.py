@@ -98,8 +98,8 @@ def read_zarr(spark: SparkSession, path: str, dataset: str, box: Box | None = No
     a = _attributes(spark, f"{root}/.zarray")
     codec = (a.get("compressor") or {}).get("id")
     size, kind, order = a["chunks"], np.dtype(a["dtype"]), a.get("order", "C")
-    if box is not None and out_of_bounds == "forbid" and (any(b < o for b, o in zip(box[0], offset, strict=True)) or any(b > o + n for b, o, n in zip(box[1], offset, a["shape"], strict=True))):
-        raise ValueError("the box leaves the array")
+    if box is not None and out_of_bounds == "forbid":
+        check_bounds(box, (offset, tuple(o + n for o, n in zip(offset, a["shape"], strict=True))))
     separator = a.get("dimension_separator", ".")
     extent = a["shape"]
 
@@ -119,6 +119,11 @@ def read_zarr(spark: SparkSession, path: str, dataset: str, box: Box | None = No
     return out if box is None else out.where(within(box))
 
 
+def check_bounds(box: Box, whole: Box) -> None:
+    if any(b < o for b, o in zip(box[0], whole[0], strict=True)) or any(b > e for b, e in zip(box[1], whole[1], strict=True)):
+        raise ValueError("the box leaves the array")
+
+
 def _touching(files: DataFrame, size: list[int], axes: list[int], box: Box, offset: tuple[int, int, int] = (0, 0, 0)) -> DataFrame:
     """The chunks that a box touches, so that the others aren't decoded."""
     keep = F.lit(True)
@@ -142,7 +147,7 @@ def write_zarr(voxels: DataFrame, folder: str, dataset: str, shape: tuple[int, i
     os.makedirs(root, exist_ok=True)
     with open(f"{root}/.zarray", "w") as f:
         json.dump({"zarr_format": 2, "shape": list(shape), "chunks": list(chunks), "dtype": dtype, "compressor": codec and {"id": codec, "level": 1}, "fill_value": 0, "order": "C", "filters": None}, f)
-    _write(voxels, Grid(chunks), lambda cell: f"{root}/{'.'.join(map(str, cell))}", lambda block: _encode(np.ascontiguousarray(block).tobytes(), codec), dtype, write_empty)
+    _write(voxels, Grid(chunks), lambda cell: f"{root}/{'.'.join(map(str, cell))}", lambda block, _: _encode(np.ascontiguousarray(block).tobytes(), codec), dtype, write_empty)
 
 
 def write_n5(voxels: DataFrame, folder: str, dataset: str, shape: tuple[int, int, int], chunks: tuple[int, int, int], dtype: str = "uint64", codec: str = "gzip") -> None:
@@ -152,7 +157,7 @@ def write_n5(voxels: DataFrame, folder: str, dataset: str, shape: tuple[int, int
         json.dump({"dimensions": list(shape)[::-1], "blockSize": list(chunks)[::-1], "dataType": dtype, "compression": {"type": codec}}, f)
     head = struct.pack(">HH3I", 0, 3, *chunks[::-1])
     kind = np.dtype(dtype).newbyteorder(">")
-    _write(voxels, Grid(chunks), lambda cell: f"{root}/{'/'.join(map(str, cell[::-1]))}", lambda block: head + _encode(block.astype(kind).tobytes(), codec), dtype, False)
+    _write(voxels, Grid(chunks), lambda cell: f"{root}/{'/'.join(map(str, cell[::-1]))}", lambda block, _: head + _encode(block.astype(kind).tobytes(), codec), dtype, False)
 
 
 def _write(voxels: DataFrame, grid: Grid, name, encode, dtype: str, write_empty: bool) -> None:
@@ -163,12 +168,12 @@ def _write(voxels: DataFrame, grid: Grid, name, encode, dtype: str, write_empty:
     def put(pdf: pd.DataFrame) -> pd.DataFrame:
         cell = tuple(int(pdf[k].iat[0]) for k in keys)
         block = np.zeros(grid.shape, dtype)
-        block[tuple(pdf[a].to_numpy() - c * n for a, c, n in zip(AXES, cell, grid.shape, strict=True))] = pdf["label"].to_numpy()
+        block[tuple(pdf[a].to_numpy() - o - c * n for a, c, n, o in zip(AXES, cell, grid.shape, grid.offset, strict=True))] = pdf["label"].to_numpy()
         path = name(cell)
         os.makedirs(os.path.dirname(path), exist_ok=True)
         part = f"{path}.{os.getpid()}.part"
         with open(part, "wb") as f:
-            f.write(encode(block))
+            f.write(encode(block, cell))
         os.replace(part, path)
         return pd.DataFrame({"n": [1]})
 
@@ -196,13 +201,48 @@ def _pgm(data: bytes) -> np.ndarray:
         fields.append(data[at:end])
         at = end
     if fields[0] != b"P5":
-        raise ValueError("slices are binary PGM images")
+        raise ValueError("slices are binary PGM images, or PNG or JPEG")
     width, height, most = map(int, fields[1:])
     return np.frombuffer(data, ">u2" if most > 255 else "u1", width * height, at + 1).reshape(height, width)
 
 
+def _png(image: np.ndarray) -> bytes:
+    """A grayscale PNG of 8 bits."""
+
+    def part(kind: bytes, data: bytes) -> bytes:
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+
+    lines = np.pad(image, [(0, 0), (1, 0)]).tobytes()  # each after its filter, 0
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", image.shape[1], image.shape[0], 8, 0, 0, 0, 0)) + part(b"IDAT", zlib.compress(lines)) + part(b"IEND", b"")
+
+
+def _decoded(path_format: str) -> bool:
+    """Whether Spark's image source reads these slices."""
+    return path_format.lower().endswith((".png", ".jpg", ".jpeg"))
+
+
+def _images(spark: SparkSession, path_format: str) -> DataFrame:
+    """(z, height, width, data) of decoded slices of 8 bits; a file that is no such image raises."""
+    before, _, after = slice_format(path_format)
+    if after.lower().endswith(".png"):
+        head = spark.read.format("binaryFile").load(f"{before}*{after}").select(F.substring("content", 25, 1).alias("bits")).first()  # the stack has one kind
+        if head and head["bits"] != b"\x08":
+            raise ValueError("PNG slices have 8 bits; for 16 bits use PGM")
+    found = spark.read.format("image").load(f"{before}*{after}").select("image.*")
+    plain = F.when(F.col("nChannels") == 1, F.col("data")).otherwise(F.raise_error(F.concat(F.lit("no grayscale image: "), "origin")).cast("binary"))
+    return found.select(F.regexp_extract("origin", r"([0-9]+)[^0-9]*$", 1).cast("int").alias("z"), "height", "width", plain.alias("data"))
+
+
 def read_slices(spark: SparkSession, path_format: str) -> DataFrame:
-    """(z, y, x, label) of a stack of grayscale slices; z is the number in the name."""
+    """(z, y, x, label) of a stack of grayscale slices; z is the number in the name. PGM of 8 or 16 bits, PNG and JPEG of 8."""
+    if _decoded(path_format):
+
+        def pixels(batches):
+            for pdf in batches:
+                for z, height, width, data in zip(pdf["z"], pdf["height"], pdf["width"], pdf["data"], strict=True):
+                    yield _voxels(np.frombuffer(data, np.uint8).reshape(1, height, width), (z, 0, 0))
+
+        return _images(spark, path_format).mapInPandas(pixels, VOXELS)
     before, _, after = slice_format(path_format)
     files = spark.read.format("binaryFile").load(f"{before}*{after}")
     number = F.regexp_extract("path", r"([0-9]+)[^0-9]*$", 1).cast("int")
@@ -218,6 +258,10 @@ def read_slices(spark: SparkSession, path_format: str) -> DataFrame:
 def stack_attributes(spark: SparkSession, path_format: str) -> dict:
     """Extent and value size of a stack, from its names and first slice."""
     before, _, after = slice_format(path_format)
+    if _decoded(path_format):
+        images = _images(spark, path_format).drop("data")
+        low, high, height, width = images.agg(F.min("z"), F.max("z"), F.min_by("height", "z"), F.min_by("width", "z")).first()
+        return {"box": ((low, 0, 0), (high + 1, height, width)), "dtype": "uint8"}
     files = spark.read.format("binaryFile").load(f"{before}*{after}")
     z = F.regexp_extract("path", r"([0-9]+)[^0-9]*$", 1).cast("int")
     low, high = files.agg(F.min(z), F.max(z)).first()
@@ -226,7 +270,8 @@ def stack_attributes(spark: SparkSession, path_format: str) -> dict:
 
 
 def write_slices(voxels: DataFrame, folder: str, path_format: str, height: int, width: int) -> None:
-    """Whole slices as PGM, one task each."""
+    """Whole slices as PGM, or as PNG if the name says so, one task each."""
+    png = path_format.lower().endswith(".png")
 
     def put(pdf: pd.DataFrame) -> pd.DataFrame:
         image = np.zeros((height, width), np.uint8)
@@ -234,7 +279,7 @@ def write_slices(voxels: DataFrame, folder: str, path_format: str, height: int,
         path = os.path.join(folder, path_format.format(int(pdf["z"].iat[0])))
         os.makedirs(os.path.dirname(path), exist_ok=True)
         with open(f"{path}.part", "wb") as f:
-            f.write(b"P5\n%d %d\n255\n" % (width, height) + image.tobytes())
+            f.write(_png(image) if png else b"P5\n%d %d\n255\n" % (width, height) + image.tobytes())
         os.replace(f"{path}.part", path)
         return pd.DataFrame({"n": [1]})
 

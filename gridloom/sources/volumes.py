@@ -14,6 +14,7 @@ from gridloom.operators.grid import Box, Grid, from_bricks, to_bricks, translate
 from gridloom.operators.labelmap import map_labels
 from gridloom.operators.resample import at_scale
 from gridloom.sources import chunks
+from gridloom.sources.precomputed import read_precomputed
 from gridloom.sources.tables import labelmap
 
 #: The order in which views are made; configurations list them so.
@@ -32,14 +33,50 @@ def _parquet(spark: SparkSession, o: dict) -> DataFrame:
     return rows.where(F.col("scale") == o.get("scale", 0)).drop("scale") if "scale" in rows.columns and "scale" in o else rows
 
 
+def _array(spark: SparkSession, o: dict) -> DataFrame:
+    """A volume by {"spec": {"driver", "kvstore", "scale_index"}}, as TensorStore names it."""
+    spec = o["spec"]
+    store = spec["kvstore"]
+    if isinstance(store, dict):
+        before = {"file": "", "gcs": f"gs://{store.get('bucket')}/", "s3": f"s3a://{store.get('bucket')}/"}.get(store["driver"])
+        if before is None:
+            raise NotImplementedError(f"no reader for the store {store['driver']}")
+        store = before + store["path"]
+    elif store.startswith(("s3://", "file://")):
+        store = store.replace("s3://", "s3a://", 1).replace("file://", "file:", 1)
+    path, box, bounds = store.rstrip("/"), o.get("box"), o.get("out-of-bounds-access", "forbid")
+    folder, _, dataset = path.rpartition("/")
+    if spec["driver"] == "neuroglancer_precomputed":
+        return read_precomputed(spark, path, o.get("scale", spec.get("scale_index", 0)), box, bounds)
+    if spec["driver"] == "zarr":
+        return chunks.read_zarr(spark, folder, dataset, box, bounds)
+    if spec["driver"] == "n5":
+        return chunks.read_n5(spark, folder, dataset, box)
+    raise NotImplementedError(f"no reader for the driver {spec['driver']}")
+
+
+#: Schemes of viewers' URLs and the drivers that read them.
+DRIVERS = {"precomputed": "neuroglancer_precomputed", "zarr": "zarr", "zarr2": "zarr", "n5": "n5"}
+
+
+def from_url(spark: SparkSession, url: str, scale: int = 0, box: Box | None = None) -> DataFrame:
+    """Voxels of a viewer's source, such as precomputed://gs://bucket/folder or n5://file:///folder/dataset; Spark must be able to read what the address names."""
+    scheme, _, store = url.partition("://")
+    if scheme not in DRIVERS or not store:
+        raise ValueError(f"a source starts with one of {sorted(DRIVERS)}")
+    return _array(spark, {"spec": {"driver": DRIVERS[scheme], "kvstore": store}, "scale": scale, "box": box})
+
+
 FORMATS: dict[str, Callable[[SparkSession, dict], DataFrame]] = {
     "parquet": _parquet,
     "bricks": lambda s, o: from_bricks(s.read.parquet(o["path"]), tuple(o["block-shape"])),
     "n5": lambda s, o: chunks.read_n5(s, o["path"], o["dataset"], o.get("box")),
     "zarr": lambda s, o: chunks.read_zarr(s, o["path"], o["dataset"], o.get("box"), o.get("out-of-bounds-access", "forbid"), tuple(o.get("global-offset", (0, 0, 0)))),
+    "precomputed": lambda s, o: read_precomputed(s, o["path"], o.get("scale", 0), o.get("box"), o.get("out-of-bounds-access", "forbid")),
+    "tensorstore": _array,
     "slice-files": lambda s, o: chunks.read_slices(s, o["slice-path-format"]),
     "npy": lambda s, o: (s.dataSource.register(NpyVolume), s.read.format("npy_volume").options(**{k: str(v) for k, v in o.items()}).load())[1],
-    **{name: _offline(name) for name in ("hdf5", "dvid", "boss", "brainmaps", "tensorstore")},
+    **{name: _offline(name) for name in ("hdf5", "dvid", "boss", "brainmaps")},
 }
 
 

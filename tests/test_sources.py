@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.operators.grid import Grid
-from gridloom.sources import chunks, tables, volumes
+from gridloom.sources import chunks, precomputed, tables, volumes
 from gridloom.streaming import changes
 from tests.test_volumes import array, voxels
 
@@ -54,6 +54,62 @@ def test_slices(spark, cube, tmp_path):
     assert chunks.stack_attributes(spark, path)["box"][1][1:] == (9, 10)
 
 
+def test_png_slices(spark, cube, tmp_path):
+    chunks.write_slices(voxels(spark, cube), str(tmp_path), "s-{:04d}.png", 9, 10)
+    path = f"{tmp_path}/s-{{:04d}}.png"
+    assert (array(chunks.read_slices(spark, path), cube.shape) == cube).all()
+    assert chunks.stack_attributes(spark, path) == {"box": ((0, 0, 0), (7, 9, 10)), "dtype": "uint8"}
+    wide = (tmp_path / "s-0000.png").read_bytes()
+    for f in tmp_path.glob("*.png"):
+        f.write_bytes(wide[:24] + b"\x10" + wide[25:])
+    with pytest.raises(ValueError, match="8 bits"):
+        chunks.read_slices(spark, path)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 16, 17, 300, 70_000])
+@pytest.mark.parametrize("kind", ["uint32", "uint64"])
+def test_segmentation_codec(n, kind):
+    block = (8, 8, 8) if n < 1000 else (48, 48, 48)
+    labels = np.random.default_rng(n).integers(0, 2**31, n).astype(kind) * (1 if kind == "uint32" else 2**31)
+    x = labels[np.random.default_rng(n + 1).integers(0, n, (49, 50, 51))]
+    got = precomputed.decode_segmentation(precomputed.encode_segmentation(x, block), x.shape, block, np.dtype(kind))
+    assert got.dtype == x.dtype and (got == x).all()
+
+
+def test_segmentation_by_hand():
+    # One block of 2 x 1 x 2 voxels: the table after the packed bits, two labels, places 0, 1, 1, 0 from the lowest bit on.
+    words = [1, (3 | 1 << 24), 2, 0b0110, 7, 9]
+    data = np.array(words, "<u4").tobytes()
+    got = precomputed.decode_segmentation(data, (2, 1, 2), (2, 1, 2), np.dtype("uint32"))
+    assert got.tolist() == [[[7, 9]], [[9, 7]]]
+
+
+@pytest.mark.parametrize("encoding", ["raw", "compressed_segmentation"])
+def test_precomputed(spark, cube, tmp_path, encoding):
+    folder, box = str(tmp_path / "v"), ((0, 0, 0), cube.shape)
+    precomputed.write_precomputed(voxels(spark, cube), folder, box, (4, 3, 8), encoding=encoding)
+    assert (array(volumes.open_volume(spark, {"precomputed": {"path": folder}}), cube.shape) == cube).all()
+    name = next((tmp_path / "v" / "1_1_1").glob("*-*_*-*_*-*"))
+    name.with_name(name.name + ".gz").write_bytes(__import__("gzip").compress(name.read_bytes()))
+    name.unlink()
+    part = ((1, 2, 3), (5, 6, 10))
+    want = np.zeros_like(cube)
+    want[1:5, 2:6, 3:10] = cube[1:5, 2:6, 3:10]
+    for v in (volumes.from_url(spark, f"precomputed://file://{folder}", box=part), volumes.open_volume(spark, {"tensorstore": {"spec": {"driver": "neuroglancer_precomputed", "kvstore": {"driver": "file", "path": folder}}, "box": part}})):
+        assert (array(v, cube.shape) == want).all()
+    with pytest.raises(ValueError, match="leaves the array"):
+        precomputed.read_precomputed(spark, folder, box=((0, 0, 0), (9, 9, 9)))
+    with pytest.raises(ValueError, match="leave the volume"):
+        precomputed.write_precomputed(voxels(spark, cube), folder, ((1, 0, 0), cube.shape), (4, 3, 8))
+
+
+def test_precomputed_with_an_offset(spark, cube, tmp_path):
+    moved = voxels(spark, cube).select(*(F.col(a) + o for a, o in zip("zyx", (-5, 100, 3), strict=True)), "label").toDF("z", "y", "x", "label")
+    precomputed.write_precomputed(moved, str(tmp_path), ((-5, 100, 3), (2, 109, 13)), (4, 4, 4))
+    got = volumes.open_volume(spark, {"precomputed": {"path": str(tmp_path)}})
+    assert sorted(got.collect()) == sorted(moved.where("label <> 0").select(*(F.col(a).cast("int") for a in "zyx"), "label").collect())
+
+
 def test_npy_and_views(spark, cube, tmp_path):
     path = str(tmp_path / "v.npy")
     np.save(path, cube)
