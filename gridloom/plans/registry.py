@@ -844,4 +844,4 @@ def measure_extremes(spark, d):
     return evaluate(o, ["count"])["count"]["extremes"]
 
 
-from gridloom.plans import job_registry  # noqa: E402, F401  its queries are registered with these
+from gridloom.plans import job_registry, source_registry  # noqa: E402, F401  their queries are registered with these
