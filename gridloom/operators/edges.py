@@ -155,6 +155,21 @@ def sample_labels(points: DataFrame, voxels: DataFrame, name: str = "label", wid
     return points.join(v, on, "left").select(*points.columns, F.coalesce("_label", F.lit(0)).cast("long").alias(name))
 
 
+def refresh_edges(edges: DataFrame, voxels: DataFrame, group: str = "group") -> DataFrame:
+    """Edges with the labels that their points have now: those within one label go, and of each group's pair the least distance stays, so a direct
+    edge before a nearby one; ties by the other columns. group_cc is kept as it was."""
+    rows = edges
+    for s in ("a", "b"):
+        at = rows.select(*(F.col(f"{a}{s}").alias(a) for a in AXES)).distinct()
+        now = sample_labels(at, voxels, "_now").select(*(F.col(a).alias(f"_{a}") for a in AXES), "_now")
+        on = F.lit(True)
+        for a in AXES:
+            on &= F.col(f"{a}{s}") == F.col(f"_{a}")
+        rows = rows.join(now, on).withColumn(f"label_{s}", F.col("_now")).drop("_now", *(f"_{a}" for a in AXES))
+    rows = normalise(rows.where("label_a <> label_b").withColumnRenamed("group_cc", "_cc")).withColumnRenamed("_cc", "group_cc")
+    return closest_edges(rows, [group, *PAIR]).select(*edges.columns)
+
+
 def sample_labels_in_bricks(points: DataFrame, bricks: DataFrame, grid, name: str = "label") -> DataFrame:
     """The same from a brick table: points and bricks meet by cell, and a brick's bytes are read once for all its points."""
     keys = ["bz", "by", "bx"]

@@ -248,3 +248,37 @@ def nudge_inward(spark, d):
     direct = v.withColumnRenamed("label", "label_a").join(right, list(AXES)).where("label_a <> label_b and label_a <> 0 and label_b <> 0")
     rows = direct.select("label_a", "label_b", F.col("z").alias("za"), F.col("y").alias("ya"), F.col("x").alias("xa"), F.col("z").alias("zb"), F.col("y").alias("yb"), (F.col("x") + 1).alias("xb"), F.col("x").alias("at"))
     return edges.nudge_inward(rows, v).select(F.col("za").alias("z"), F.col("ya").alias("y"), "label_a", "label_b", "xa", "xb", "at")
+
+
+DIRECT_SQL = f"{NINE_SQL}, e AS (SELECT a.z, a.y, a.x AS xa, b.x AS xb, a.label AS la, b.label AS lb FROM n a JOIN n b ON a.z = b.z AND a.y = b.y AND b.x > a.x AND b.x <= a.x + 3 WHERE a.label <> b.label AND a.label <> 0 AND b.label <> 0)"
+
+
+def _near(spark, d):
+    """Pairs of voxels on a line, up to 3 apart, in a group for each z."""
+    v = cut(nine(spark, d))
+    after = v.select("z", "y", F.explode(F.array(*[F.col("x") - k for k in (1, 2, 3)])).alias("x"), F.col("x").alias("xb"), F.col("label").alias("label_b"))
+    met = v.withColumnRenamed("label", "label_a").join(after, list(AXES)).where("label_a <> label_b and label_a <> 0 and label_b <> 0")
+    return v, met.select(F.col("z").cast("long").alias("group"), "label_a", "label_b", F.col("z").alias("za"), F.col("y").alias("ya"), F.col("x").alias("xa"), F.col("z").alias("zb"), F.col("y").alias("yb"), "xb", (F.col("xb") - F.col("x")).cast("double").alias("distance"))
+
+
+@query(f"WITH {DIRECT_SQL}, m AS (SELECT z, y, xa, xb, CASE WHEN la > 4 THEN la - 4 ELSE la END AS na, CASE WHEN lb > 4 THEN lb - 4 ELSE lb END AS nb FROM e), w AS (SELECT z::BIGINT AS \"group\", least(na, nb) AS label_a, greatest(na, nb) AS label_b, z, y, CASE WHEN na < nb THEN xa ELSE xb END AS xa, CASE WHEN na < nb THEN xb ELSE xa END AS xb, (xb - xa)::DOUBLE AS distance FROM m WHERE na <> nb) SELECT \"group\", label_a, label_b, z AS za, y AS ya, xa, z AS zb, y AS yb, xb, distance FROM w QUALIFY row_number() OVER (PARTITION BY \"group\", label_a, label_b ORDER BY distance, z, y, xa, xb) = 1")
+def refresh_edges(spark, d):
+    """After labels 5 to 8 have become 1 to 4."""
+    v, rows = _near(spark, d)
+    return edges.refresh_edges(rows, v.withColumn("label", F.when(F.col("label") > 4, F.col("label") - 4).otherwise(F.col("label"))))
+
+
+@query(f"WITH {DIRECT_SQL} SELECT {fd('z', 4)}::INT AS bz, {fd('y', 64)}::INT AS \"by\", {fd('xa', 64)}::INT AS bx, la AS label_a, lb AS label_b, count(*)::BIGINT AS n FROM e GROUP BY ALL")
+def sink_edges(spark, d):
+    path = folder(spark)
+    volumes.write_edges(_near(spark, d)[1], path, Grid((4, 64, 64)))
+    return spark.read.parquet(path).groupBy("bz", "by", "bx", "label_a", "label_b").agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_custkey AS segment_id, c_nationkey::BIGINT AS body_id, 9::BIGINT AS mutid FROM (SELECT DISTINCT o_custkey FROM orders) JOIN customer ON o_custkey = c_custkey WHERE c_nationkey < 20 AND c_nationkey <> 7")
+def sink_mapping(spark, d):
+    path = folder(spark)
+    nations = t(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("label"))
+    rows = t(spark, d, "orders").select(F.col("o_custkey").alias("segment_id")).distinct().join(t(spark, d, "customer").select(F.col("c_custkey").alias("segment_id"), F.col("c_nationkey").cast("long").alias("body_id")), "segment_id")
+    volumes.write_mapping(rows, path, 9, nations.where("label < 20"), nations.where("label = 7"))
+    return spark.read.parquet(path)

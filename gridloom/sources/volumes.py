@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from gridloom.functions.arithmetic import AXES, default_entries
+from gridloom.operators.edges import POINTS
 from gridloom.operators.grid import Box, Grid, from_bricks, to_bricks, translate, transpose, within
 from gridloom.operators.labelmap import map_labels
 from gridloom.operators.resample import at_scale
@@ -174,6 +175,25 @@ def write_label_index(index: DataFrame, path: str, mutation: int, user: str) ->
     stamped.repartitionByRange("body_id").sortWithinPartitions("body_id").write.mode("append").parquet(path)
 
 
+def write_mapping(mapping: DataFrame, path: str, mutation: int, subset: DataFrame | None = None, exclude: DataFrame | None = None) -> None:
+    """(segment_id, body_id) stamped with the mutation, in ranges of bodies; `subset` and `exclude` are tables of labels of bodies."""
+    rows = mapping.select("segment_id", "body_id")
+    for labels, how in ((subset, "left_semi"), (exclude, "left_anti")):
+        if labels is not None:
+            rows = rows.join(labels.select(F.col("label").alias("body_id")).distinct(), "body_id", how)
+            if rows.isEmpty():
+                raise ValueError("no mapping is left")
+    stamped = rows.select("segment_id", "body_id", F.lit(mutation).cast("long").alias("mutid"))
+    stamped.repartitionByRange("body_id", "segment_id").sortWithinPartitions("body_id", "segment_id").write.mode("append").parquet(path)
+
+
+def write_edges(edges: DataFrame, path: str, grid: Grid) -> None:
+    """Edges in folders by the brick of their first point; nothing passes through the driver."""
+    cells = [grid.cell(i, f"{a}a").alias(f"b{a}") for i, a in enumerate(AXES)]
+    rows = edges.select(*(F.col(c).cast("int").alias(c) if c in POINTS else F.col(c) for c in edges.columns), *cells)
+    rows.repartition("bz", "by", "bx").write.mode("overwrite").partitionBy("bz", "by", "bx").parquet(path)
+
+
 def write_assignments(edges: DataFrame, path: str, per_file: int) -> None:
     """Edges as JSON assignments in folders by group, so many in each."""
     from gridloom.operators.aggregates import distribute_lists
