@@ -157,15 +157,14 @@ def sample_labels(points: DataFrame, voxels: DataFrame, name: str = "label", wid
 
 def refresh_edges(edges: DataFrame, voxels: DataFrame, group: str = "group") -> DataFrame:
     """Edges with the labels that their points have now: those within one label go, and of each group's pair the least distance stays, so a direct
-    edge before a nearby one; ties by the other columns. group_cc is kept as it was."""
+    edge before a nearby one; ties by the other columns. group_cc is kept as it was.
+
+    Edges are read once and meet the voxels by sorted joins: a compressed file of voxels may look small enough for a broadcast while its rows aren't."""
     rows = edges
     for s in ("a", "b"):
-        at = rows.select(*(F.col(f"{a}{s}").alias(a) for a in AXES)).distinct()
-        now = sample_labels(at, voxels, "_now").select(*(F.col(a).alias(f"_{a}") for a in AXES), "_now")
-        on = F.lit(True)
-        for a in AXES:
-            on &= F.col(f"{a}{s}") == F.col(f"_{a}")
-        rows = rows.join(now, on).withColumn(f"label_{s}", F.col("_now")).drop("_now", *(f"_{a}" for a in AXES))
+        place = [f"{a}{s}" for a in AXES]
+        now = voxels.select(*(F.col(a).alias(p) for a, p in zip(AXES, place, strict=True)), F.col("label").alias("_now")).hint("merge")
+        rows = rows.dropna(subset=place).join(now, place, "left").withColumn(f"label_{s}", F.coalesce("_now", F.lit(0)).cast("long")).drop("_now")
     rows = normalise(rows.where("label_a <> label_b").withColumnRenamed("group_cc", "_cc")).withColumnRenamed("_cc", "group_cc")
     return closest_edges(rows, [group, *PAIR]).select(*edges.columns)
 

@@ -254,10 +254,10 @@ DIRECT_SQL = f"{NINE_SQL}, e AS (SELECT a.z, a.y, a.x AS xa, b.x AS xb, a.label
 
 
 def _near(spark, d):
-    """Pairs of voxels on a line, up to 3 apart, in a group for each z."""
+    """Pairs of voxels on a line, up to 3 apart, in a group for each z. The cut file is far smaller than its rows, so its size mustn't choose a broadcast."""
     v = cut(nine(spark, d))
     after = v.select("z", "y", F.explode(F.array(*[F.col("x") - k for k in (1, 2, 3)])).alias("x"), F.col("x").alias("xb"), F.col("label").alias("label_b"))
-    met = v.withColumnRenamed("label", "label_a").join(after, list(AXES)).where("label_a <> label_b and label_a <> 0 and label_b <> 0")
+    met = v.withColumnRenamed("label", "label_a").join(after.hint("merge"), list(AXES)).where("label_a <> label_b and label_a <> 0 and label_b <> 0")
     return v, met.select(F.col("z").cast("long").alias("group"), "label_a", "label_b", F.col("z").alias("za"), F.col("y").alias("ya"), F.col("x").alias("xa"), F.col("z").alias("zb"), F.col("y").alias("yb"), "xb", (F.col("xb") - F.col("x")).cast("double").alias("distance"))
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from gridloom.operators import aggregates, diffs, edges, filters, geometry, graph, grid, labelmap, metrics, resample
 from gridloom.operators import volume_components as vc
 from gridloom.operators.grid import Grid
+from gridloom.operators.lineage import cut
+from gridloom.plans import source_registry
 from gridloom.plans.workflows import find_job, run_job
 
 AXES = ["z", "y", "x"]
@@ -253,6 +255,21 @@ def test_nudge_and_nearest(spark):
     assert {r["label"]: r["x"] for r in geometry.correct_centroids(objects, v).collect()} == {1: 3, 2: 5}
 
 
+def test_refreshed_edges_sort(spark):
+    """Voxels whose file is small enough for a broadcast, but whose number has no bound, meet the edges by sorted joins; edges are read once."""
+    a = np.zeros((1, 2, 6), int)
+    a[0, 0], a[0, 1] = (7, 7, 3, 3, 9, 0), (7, 2, 2, 0, 9, 9)
+    v = cut(voxels(spark, a))
+    rows = [(1, 5, 6, 0, 0, 1, 0, 0, 2, 1.0, "direct"), (1, 4, 8, 0, 0, 0, 0, 0, 3, 3.0, "far"), (1, 5, 6, 0, 0, 0, 0, 1, 0, 1.0, "within"), (2, 1, 2, 0, 0, 5, 0, 1, 4, 1.0, "absent"), (2, 1, 2, 0, 0, None, 0, 1, 4, 1.0, "nowhere"), (2, 1, 2, 0, 1, 2, 0, 1, 4, 2.0, "near")]
+    e = cut(spark.createDataFrame(rows, "group long, label_a long, label_b long, za int, ya int, xa int, zb int, yb int, xb int, distance double, kind string"))
+    out = edges.refresh_edges(e, v)
+    assert {(r["group"], r["label_a"], r["label_b"], r["xa"], r["xb"], r["kind"]) for r in out.collect()} == {(1, 3, 7, 2, 1, "direct"), (2, 0, 9, 5, 4, "absent"), (2, 2, 9, 2, 4, "near")}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
+    query = source_registry.refresh_edges(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert query.count("SortMergeJoin") == 3 and "Broadcast" not in query
+
+
 def test_meshes_close(spark, cube):
     got = run_job(spark, "CreateMeshes", {"input": voxels(spark, cube)})["meshes"].collect()
     assert len(got) == len(set(cube[cube > 0])) and all(r["status"] == "ok" for r in got)
