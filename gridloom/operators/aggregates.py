@@ -195,10 +195,11 @@ def throughput(runs: DataFrame) -> DataFrame:
     return runs.agg(F.count("*").alias("requests"), F.sum("blocks").alias("blocks"), F.avg("blocks").alias("blocks_per_request"), F.avg("seconds").alias("seconds_per_request"), (F.sum("seconds") / F.sum("blocks")).alias("seconds_per_block"), (F.max(F.col("start_s") + F.col("seconds")) - F.min("start_s")).alias("wall_s"))
 
 
-def per_block_mode(pdf: pd.DataFrame) -> int:
-    """A scalar reducer for grouped use: the most frequent label, the smallest at a tie."""
-    n = pdf["label"].value_counts()
-    return int(n[n == n.max()].index.min())
+def per_block_mode(pdf: pd.DataFrame) -> int | None:
+    """A scalar reducer for grouped use: the most frequent label, the smallest at a tie; null if all are null."""
+    labels = pdf["label"].to_numpy()
+    labels, n = np.unique(labels if labels.dtype.kind in "iu" else labels[~pd.isna(labels)], return_counts=True)
+    return int(labels[n.argmax()]) if len(labels) else None
 
 
 def adaptive_factor(size: Column, limit: int, least: int = 1) -> Column:

@@ -220,6 +220,40 @@ def test_scales(spark, cube):
     assert up.count() == 8 * (cube > 0).sum()
 
 
+@pytest.mark.parametrize("most", [3, 10000])
+def test_blocks_are_reduced_in_batches(spark, most):
+    """Blocks longer and shorter than a batch, nulls beside numbers that floats can't hold, and rows without a place."""
+    big = 2**60 + 1
+    rows = [(0, 0, x, big if x % 8 else 5, x % 3 == 0, 0.5) for x in range(24)] + [(0, 1, x, None if x == 24 else big, None, None) for x in range(16, 30)] + [(-1, -1, -1, None, True, 1.0), (None, 0, 1, 4, False, 1.0), (None, 0, 2, big, False, 1.0), (None, 9, 2, 6, True, 1.0)]
+    v = spark.createDataFrame(rows, "z int, y int, x int, label long, flag boolean, value double").repartition(3)
+
+    def seen(pdf):
+        assert list(pdf.index) == list(range(len(pdf))) and list(pdf.columns) == ["_bz", "_by", "_bx", "z", "y", "x", "label", "flag", "value"]
+        labels = [int(k) for k in pdf["label"] if k == k]
+        return f"{len(pdf)} {pdf['label'].dtype} {max(labels, default=None)} {pdf['flag'].dtype} {(pdf['flag'] == True).sum()} {pdf['value'].sum()}"  # noqa: E712
+
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
+    try:
+        out = resample.reduce_blocks(v, (1, 4, 8), seen, "string")
+        got = {(r["z"], r["y"], r["x"]): r["label"] for r in out.collect()}
+        modes = {(r["z"], r["y"], r["x"]): r["label"] for r in resample.reduce_blocks(v, (1, 4, 8), aggregates.per_block_mode).collect()}
+        assert modes == {(0, 0, 0): big, (0, 0, 1): big, (0, 0, 2): big, (0, 0, 3): 2**60, (-1, -1, -1): None, (None, 0, 0): 4, (None, 2, 0): 6}
+        assert resample.reduce_blocks(v.where("x > 99"), (2, 2, 2), len).collect() == []
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == {
+        (0, 0, 0): f"8 int64 {big} bool 3 4.0",
+        (0, 0, 1): f"8 int64 {big} bool 3 4.0",
+        (0, 0, 2): f"16 int64 {big} object 2 4.0",
+        (0, 0, 3): f"6 float64 {2**60} object 0 0.0",
+        (-1, -1, -1): "1 float64 None bool 1 1.0",
+        (None, 0, 0): f"2 int64 {big} bool 0 2.0",
+        (None, 2, 0): "1 int64 6 bool 1 1.0",
+    }
+    assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().executedPlan().toString()  # a batch for each block
+
+
 def test_paths(spark):
     rows = [(0, 1, 2, 1.0), (0, 2, 3, 1.0), (0, 1, 3, 5.0), (0, 3, 4, 1.0), (0, 4, 5, 1.0), (7, 10, 11, 2.0)]
     e = spark.createDataFrame(rows, "group_cc long, label_a long, label_b long, distance double")
